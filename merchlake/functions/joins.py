@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from merchlake.session import MB
 
@@ -47,46 +48,62 @@ def spread_join(
     how: str = "left",
     condition: Column | None = None,
     limit: int = BROADCAST_LIMIT,
+    size: int | None = None,
     hot: list | None = None,
     salts: int = HOT_SALTS,
 ) -> DataFrame:
     """Join facts to a dimension on `key`, keeping the key column once.
 
-    A dimension within the byte limit is broadcast: no shuffle, no skew. A
-    larger one is shuffled, and the listed hot keys (found by sampling when
-    `hot` is None) are dealt over `salts` partitions; only those few dimension
-    rows are repeated. NULL keys match nothing and are dealt out as well.
+    A dimension within the byte limit is broadcast: no shuffle, no skew. Its
+    size is Catalyst's estimate, or `size` where the caller knows a bound (the
+    estimate of a joined frame is a product and far too high).
+
+    A larger dimension is shuffled. NULL text keys match nothing and are dealt
+    out over the partitions. Partitions that a hot key makes too big are split
+    at run time (see session.tune); keys known to be hot can also be listed in
+    `hot` (see hot_keys) and are then dealt over `salts` partitions, with only
+    their few dimension rows repeated.
     Supports inner, left, left_semi and left_anti.
     """
     renamed = dim.withColumnRenamed(key, "_dim_key")
-    if small_enough(dim, limit):
+    if (estimated_bytes(dim) if size is None else size) <= limit:
         on = F.col(key) == F.col("_dim_key")
         if condition is not None:
             on = on & condition
         return facts.join(F.broadcast(renamed), on, how).drop("_dim_key")
 
-    heavy = hot_keys(facts, key) if hot is None else hot
-    dealt = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns if _hashable(facts, c)]), F.lit(salts)).cast("int")
-    is_hot = F.col(key).isin(heavy) if heavy else F.lit(False)
-    left = facts.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, dealt).otherwise(F.lit(0)))
-    dim_hot = F.col("_dim_key").isin(heavy) if heavy else F.lit(False)
-    right = renamed.withColumn(
-        "_dim_salt",
-        F.explode(F.when(dim_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    )
-    on = (F.col(key) == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt"))
+    rest = [F.col(c) for c in facts.columns if c != key and _hashable(facts, c)]
+    dealt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
+    lookup = F.col(key)
+    if isinstance(facts.schema[key].dataType, StringType) and rest:
+        lookup = F.coalesce(lookup, F.concat(F.lit("\u0000"), dealt.cast("string")))
+    on = F.col("_lookup") == F.col("_dim_key")
+    if hot:
+        facts = facts.withColumn("_salt", F.when(F.col(key).isin(hot), dealt).otherwise(F.lit(0)))
+        repeated = F.when(F.col("_dim_key").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+        renamed = renamed.withColumn("_dim_salt", F.explode(F.coalesce(repeated, F.array(F.lit(0)))))
+        on = on & (F.col("_salt") == F.col("_dim_salt"))
     if condition is not None:
         on = on & condition
-    return left.join(right, on, how).drop("_dim_key", "_dim_salt", "_salt")
+    joined = facts.withColumn("_lookup", lookup).join(renamed, on, how)
+    return joined.drop("_dim_key", "_dim_salt", "_salt", "_lookup")
 
 
 def _hashable(df: DataFrame, column: str) -> bool:
-    return not df.schema[column].dataType.simpleString().startswith("map")
+    return "map<" not in df.schema[column].dataType.simpleString()
 
 
-def flag_members(facts: DataFrame, keys: DataFrame, key: str, flag: str, limit: int = BROADCAST_LIMIT,
-                 hot: list | None = None) -> DataFrame:
+def flag_members(
+    facts: DataFrame,
+    keys: DataFrame,
+    key: str,
+    flag: str,
+    limit: int = BROADCAST_LIMIT,
+    size: int | None = None,
+    hot: list | None = None,
+) -> DataFrame:
     """Add a never-NULL boolean: does the fact's key occur among `keys`?"""
     known = keys.select(F.col(keys.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct()
-    joined = spread_join(facts, known.withColumn(flag, F.lit(True)), key, "left", limit=limit, hot=hot)
+    size = estimated_bytes(keys) if size is None else size
+    joined = spread_join(facts, known.withColumn(flag, F.lit(True)), key, "left", limit=limit, size=size, hot=hot)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlake.functions.joins import BROADCAST_LIMIT, spread_join
+from merchlake.functions.joins import BROADCAST_LIMIT, small_enough, spread_join
 from merchlake.functions.ordering import neighbours
 from merchlake.functions.scalars import OPEN_END, fingerprint
 
@@ -156,13 +156,12 @@ def point_in_time_join(
     key: str,
     moment: str,
     attributes: Sequence[str],
-    limit: int = BROADCAST_LIMIT,
-    hot: list | None = None,
+    **join,
 ) -> DataFrame:
     """Each fact with the dimension version that was valid at its own time (left join)."""
     versions = dim.select(key, *attributes, "valid_from", "valid_to")
     valid = (F.col(moment) >= F.col("valid_from")) & (F.col(moment) < F.col("valid_to"))
-    joined = spread_join(facts, versions, key, "left", condition=valid, limit=limit, hot=hot)
+    joined = spread_join(facts, versions, key, "left", condition=valid, **join)
     return joined.drop("valid_from", "valid_to")
 
 
@@ -173,16 +172,10 @@ def enrich(facts: DataFrame, reference: DataFrame, on: dict[str, str], limit: in
     """
     renamed = reference.withColumnsRenamed({r: f"_ref_{r}" for r in on.values()})
     condition = [F.col(f) == F.col(f"_ref_{r}") for f, r in on.items()]
-    hinted = F.broadcast(renamed) if _fits(reference, limit) else renamed
+    hinted = F.broadcast(renamed) if small_enough(reference, limit) else renamed
     return facts.join(hinted, condition, "left").drop(*[f"_ref_{r}" for r in on.values()])
 
 
-def _fits(df: DataFrame, limit: int) -> bool:
-    from merchlake.functions.joins import small_enough
-
-    return small_enough(df, limit)
-
-
 def unseen(source: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Source rows that have no open version in the dimension."""
     return source.join(dim.where("is_current").select(key), key, "left_anti")

@@ -250,19 +250,13 @@ def returned_too_often(orders: DataFrame, returns: DataFrame, share: float, star
     return counted.where(rate > share).withColumn("return_rate", money(rate, 4))
 
 
-def large_orders_by_country(orders: DataFrame, customers: DataFrame, amount: float, days: int, as_of: datetime,
-                            limit_bytes: int | None = None) -> DataFrame:
-    """Order lines above an amount in the last days, counted per country."""
-    from merchlake.functions.joins import BROADCAST_LIMIT, spread_join
-
+def large_orders_by_country(orders: DataFrame, customers: DataFrame, amount: float, days: int, as_of: datetime):
+    """Order lines above an amount in the last days, counted per country; one row per customer is joined."""
     recent = orders.where((F.col("order_ts") >= F.lit(as_of - timedelta(days=days))) & (F.col("line_total") > amount))
     per_customer = recent.groupBy("customer_id").agg(
         _rows().alias("_n"), F.sum("line_total").alias("_sum")
     )
-    placed = spread_join(
-        per_customer, customers.select("customer_id", "country"), "customer_id", "inner",
-        limit=limit_bytes or BROADCAST_LIMIT, hot=[],
-    )
+    placed = per_customer.join(customers.select("customer_id", "country"), "customer_id")
     return placed.groupBy("country").agg(F.sum("_n").alias("order_count"), money(F.sum("_sum")).alias("revenue"))
 
 

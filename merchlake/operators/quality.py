@@ -4,30 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from merchlake.functions.joins import BROADCAST_LIMIT, flag_members
+from merchlake.functions.joins import BROADCAST_LIMIT, flag_members, spread_join
 from merchlake.functions.scalars import order_ts, plain_date
 
 REASON = "validation_failed"
 
 
 def judge(df: DataFrame, rules: dict[str, Column], valid: str = "_valid", failed: str = "_failed_rules") -> DataFrame:
-    """Evaluate named rules on each row. A rule that yields NULL counts as failed."""
-    broken = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
-    return df.withColumn(failed, F.array_compact(F.array(*broken))).withColumn(valid, F.size(failed) == 0)
+    """Evaluate named rules on each row. A rule that yields NULL counts as failed.
+
+    The verdict is a plain conjunction; the list of names is only computed by
+    readers that ask for it.
+    """
+    held = {name: F.coalesce(rule, F.lit(False)) for name, rule in rules.items()}
+    verdict = reduce(lambda a, b: a & b, held.values())
+    broken = [F.when(~rule, F.lit(name)) for name, rule in held.items()]
+    return df.select("*", verdict.alias(valid), F.array_compact(F.array(*broken)).alias(failed))
 
 
 def check_orders(
-    raw: DataFrame, customer_ids: DataFrame, product_ids: DataFrame, limit: int = BROADCAST_LIMIT
+    raw: DataFrame,
+    customer_ids: DataFrame,
+    product_ids: DataFrame,
+    limit: int = BROADCAST_LIMIT,
+    hot_customers: list | None = None,
+    hot_products: list | None = None,
 ) -> DataFrame:
     """Raw orders with parsed time, `_valid` and the names of the rules each row broke."""
     parsed = raw.withColumn("order_ts_parsed", order_ts("order_ts"))
-    known = flag_members(parsed, customer_ids, "customer_id", "_known_customer", limit)
-    known = flag_members(known, product_ids, "product_id", "_known_product", limit)
+    known = flag_members(parsed, customer_ids, "customer_id", "_known_customer", limit, hot=hot_customers)
+    known = flag_members(known, product_ids, "product_id", "_known_product", limit, hot=hot_products)
     judged = judge(
         known,
         {
@@ -198,10 +210,8 @@ def freshness(df: DataFrame, name: str, column: str, as_of: datetime, sla_minute
     )
 
 
-def feature_lookup(entities: DataFrame, features: DataFrame, key: str, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def feature_lookup(entities: DataFrame, features: DataFrame, key: str, **join) -> DataFrame:
     """Attach features by key; `_valid` is false where key or feature row is missing."""
-    from merchlake.functions.joins import spread_join
-
     marked = features.withColumn("_found", F.lit(True))
-    joined = spread_join(entities, marked, key, "left", limit=limit)
+    joined = spread_join(entities, marked, key, "left", **join)
     return joined.withColumn("_valid", F.coalesce(F.col("_found"), F.lit(False))).drop("_found")

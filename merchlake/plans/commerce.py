@@ -7,6 +7,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from merchlake.functions.joins import estimated_bytes, spread_join
 from merchlake.operators import gold, metrics, quality
 from merchlake.plans.registry import CTES, day, moment, query, rounded
 from merchlake.sources import testdata
@@ -37,6 +38,16 @@ class Lake:
             lambda: testdata.customers(self.spark, self.sf_dir).withColumn("is_current", F.lit(True)),
         )
 
+    @property
+    def customer_ids(self):
+        people = testdata.table(self.spark, self.sf_dir, "customer")
+        return people.select(F.col("c_custkey").cast("string").alias("customer_id"))
+
+    @property
+    def customer_bytes(self) -> int:
+        """Bound for the customer table: nation and region add two short names to each row."""
+        return 4 * estimated_bytes(testdata.table(self.spark, self.sf_dir, "customer"))
+
     @property
     def products(self):
         return self._once("products", lambda: testdata.products(self.spark, self.sf_dir))
@@ -47,7 +58,7 @@ class Lake:
             "checked_orders",
             lambda: quality.check_orders(
                 testdata.orders_raw(self.spark, self.sf_dir),
-                self.customers.where("is_current").select("customer_id"),
+                self.customer_ids,
                 self.products.select("product_id"),
             ),
         )
@@ -438,9 +449,8 @@ def gold_product_performance(spark, sf):
 
 
 def _regional(lake: Lake) -> DataFrame:
-    from merchlake.functions.joins import spread_join
-
-    placed = spread_join(lake.orders, lake.customers.select("customer_id", "region"), "customer_id", "inner")
+    regions = lake.customers.select("customer_id", "region")
+    placed = spread_join(lake.orders, regions, "customer_id", "inner", size=lake.customer_bytes)
     return spread_join(placed, lake.products.select("product_id", "category"), "product_id", "inner")
 
 

@@ -3,8 +3,20 @@
 from pyspark.sql import types as T
 
 
+_KINDS = {
+    "STRING": T.StringType(),
+    "INT": T.IntegerType(),
+    "BIGINT": T.LongType(),
+    "DOUBLE": T.DoubleType(),
+    "BINARY": T.BinaryType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
 def _layout(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """`name KIND [NOT NULL]` entries to a schema, without needing a session."""
+    fields = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(f[0], _KINDS[f[1]], len(f) == 2) for f in fields])
 
 
 CUSTOMERS_CSV = _layout(
