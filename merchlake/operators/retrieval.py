@@ -131,13 +131,13 @@ def _with_blocks(corpus, queries, k, min_score, columns, max_queries, block_rows
         "query_id",
         "vector",
         F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("_q"),
-        F.explode(F.sequence(F.lit(0), F.lit(corpus_blocks - 1))).cast("bigint").alias("_c"),
+        F.explode(_numbers(corpus_blocks)).alias("_c"),
     )
     right = corpus.select(
         "id",
         "vector",
         F.pmod(F.xxhash64("id"), F.lit(corpus_blocks)).alias("_c"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("bigint").alias("_q"),
+        F.explode(_numbers(query_blocks)).alias("_q"),
     )
 
     def meet(block_queries: pd.DataFrame, block_rows_: pd.DataFrame) -> pd.DataFrame:
@@ -154,6 +154,10 @@ def _with_blocks(corpus, queries, k, min_score, columns, max_queries, block_rows
     return left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInPandas(meet, columns)
 
 
+def _numbers(n: int) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
+
+
 def cell_centres(corpus: DataFrame, cells: int, seed: int = 42, fraction: float = 1.0) -> list[list[float]]:
     """Centres of `cells` clusters of the unit vectors, learnt distributedly, optionally on a sample."""
     rows = corpus if fraction >= 1.0 else corpus.sample(fraction, seed)

@@ -127,7 +127,7 @@ def population_stability(
     enough = (F.col("baseline_rows") >= MIN_ROWS) & (F.col("current_rows") >= MIN_ROWS)
     value = F.aggregate("_bins", F.lit(0.0), lambda acc, b: acc + part(b))
     wanted = windows.sparkSession.range(1).select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"))
-    result = F.broadcast(wanted).join(per_feature, "feature", "left").withColumn(
+    result = wanted.join(per_feature, "feature", "left").withColumn(
         "psi", F.when(enough, F.round(F.round(value, 8), 4))
     )
     return result.select(

@@ -81,13 +81,13 @@ CTES["order_changes"] = """
 
 @query(
     "scd2_from_change_log",
-    f"""SELECT customer_id, priority, lead(at) OVER w IS NULL AS is_current, {moment("at")} AS valid_from,
-               COALESCE({moment("lead(at) OVER w")}, '{OPEN}') AS valid_to
-        FROM (SELECT customer_id, o_orderpriority AS priority, changed_at AS at, o_orderkey,
-                     lag(o_orderpriority) OVER (PARTITION BY customer_id ORDER BY changed_at, o_orderkey) AS before
+    f"""SELECT customer_id, priority, lead(since) OVER w IS NULL AS is_current, {moment("since")} AS valid_from,
+               COALESCE({moment("lead(since) OVER w")}, '{OPEN}') AS valid_to
+        FROM (SELECT customer_id, o_orderpriority AS priority, changed_at AS since, o_orderkey,
+                     lag(o_orderpriority) OVER (PARTITION BY customer_id ORDER BY changed_at, o_orderkey) AS earlier
               FROM order_changes)
-        WHERE before IS DISTINCT FROM priority
-        WINDOW w AS (PARTITION BY customer_id ORDER BY at, o_orderkey)""",
+        WHERE earlier IS DISTINCT FROM priority
+        WINDOW w AS (PARTITION BY customer_id ORDER BY since, o_orderkey)""",
 )
 def scd2_from_change_log(spark, sf):
     log = testdata.table(spark, sf, "orders").select(

@@ -71,7 +71,7 @@ def plain(df: DataFrame) -> DataFrame:
         column, kind = F.col(f"`{field.name}`"), field.dataType
         if isinstance(kind, T.DateType):
             column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(kind, T.TimestampType):
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
             column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
             column = column.cast("bigint")
