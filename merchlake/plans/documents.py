@@ -13,7 +13,7 @@ from merchlake.sources import testdata
 
 
 def _docs(spark, sf):
-    return testdata.table(spark, sf, "documents")
+    return testdata.documents(spark, sf)
 
 
 # --- chunks -----------------------------------------------------------------

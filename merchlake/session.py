@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MB = 1024 * 1024
 
@@ -68,3 +68,13 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal the rows of a scan out over all cores when it yields fewer tasks than that.
+
+    A table in one small file is one task however many cores there are. Scans
+    with enough splits, as any big table has, come back unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
