@@ -102,8 +102,21 @@ def flag_members(
     size: int | None = None,
     hot: list | None = None,
 ) -> DataFrame:
-    """Add a never-NULL boolean: does the fact's key occur among `keys`?"""
-    known = keys.select(F.col(keys.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct()
+    """Add a never-NULL boolean: does the fact's key occur among `keys`?
+
+    A small key set is broadcast. A big one is met in a semi and an anti join
+    over the same two shuffles: both kinds let hot partitions of the facts be
+    split at run time, and repeated keys need no aggregation first. Readers of
+    one side only, such as the accepted rows, get just that join.
+    """
+    wanted = keys.select(F.col(keys.columns[0]).alias(key)).where(F.col(key).isNotNull())
     size = estimated_bytes(keys) if size is None else size
-    joined = spread_join(facts, known.withColumn(flag, F.lit(True)), key, "left", limit=limit, size=size, hot=hot)
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    if size <= limit:
+        marked = wanted.distinct().withColumn(flag, F.lit(True))
+        joined = spread_join(facts, marked, key, "left", limit=limit, size=size)
+        return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    met = [
+        spread_join(facts, wanted, key, how, limit=limit, size=size, hot=hot).withColumn(flag, F.lit(found))
+        for how, found in (("left_semi", True), ("left_anti", False))
+    ]
+    return met[0].unionByName(met[1])

@@ -178,7 +178,9 @@ def chart_series(tables: Mapping[str, DataFrame], name: str, period: str, as_of)
 def chart_spec(series: DataFrame, name: str, mark: str, period: str) -> DataFrame:
     """A Vega-Lite description of a series as one JSON string; a series has one point per day."""
     title = CHARTS.get(name, CHARTS["revenue"])[3] if name in CHARTS else name
-    points = F.sort_array(F.collect_list(F.struct("x", "y"))).alias("values")
+    # As DECIMAL, large values are written in full rather than with an exponent.
+    point = F.struct("x", F.col("y").cast("decimal(38,2)").alias("y"))
+    points = F.sort_array(F.collect_list(point)).alias("values")
     axis = lambda column, kind, text: F.struct(
         F.lit(column).alias("field"), F.lit(kind).alias("type"), F.lit(text).alias("title")
     )

@@ -704,7 +704,7 @@ for _name, (_x, _y, _table, _when) in _CHART_SQL.items():
 @query(
     "chart_spec_revenue",
     f"""SELECT '{{"$schema":"https://vega.github.io/schema/vega-lite/v5.json","title":"Revenue (EUR) — last 7 days",'
-          || '"mark":"line","data":{{"values":[' || string_agg('{{"x":"' || x || '","y":' || y || '}}', ',' ORDER BY x)
+          || '"mark":"line","data":{{"values":[' || string_agg('{{"x":"' || x || '","y":' || CAST(y AS DECIMAL(38,2)) || '}}', ',' ORDER BY x)
           || ']}},"encoding":{{"x":{{"field":"x","type":"ordinal","title":"Date"}},'
           || '"y":{{"field":"y","type":"quantitative","title":"Revenue (EUR)"}}}},"width":600,"height":300}}' AS spec
         FROM (SELECT {day("order_date")} AS x, {rounded("sum(total_revenue)")} AS y FROM revenue_served
