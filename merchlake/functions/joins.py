@@ -51,6 +51,7 @@ def spread_join(
     size: int | None = None,
     hot: list | None = None,
     salts: int = HOT_SALTS,
+    aggregated: bool = False,
 ) -> DataFrame:
     """Join facts to a dimension on `key`, keeping the key column once.
 
@@ -62,7 +63,9 @@ def spread_join(
     out over the partitions. Partitions that a hot key makes too big are split
     at run time (see session.tune); keys known to be hot can also be listed in
     `hot` (see hot_keys) and are then dealt over `salts` partitions, with only
-    their few dimension rows repeated.
+    their few dimension rows repeated. Set `aggregated` when the dimension comes
+    out of an aggregation on the key: run-time splitting needs a shuffle right
+    below the join, and the salt column brings one about.
     Supports inner, left, left_semi and left_anti.
     """
     renamed = dim.withColumnRenamed(key, "_dim_key")
@@ -78,9 +81,10 @@ def spread_join(
     if isinstance(facts.schema[key].dataType, StringType) and rest:
         lookup = F.coalesce(lookup, F.concat(F.lit("\u0000"), dealt.cast("string")))
     on = F.col("_lookup") == F.col("_dim_key")
-    if hot:
-        facts = facts.withColumn("_salt", F.when(F.col(key).isin(hot), dealt).otherwise(F.lit(0)))
-        repeated = F.when(F.col("_dim_key").isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+    if hot or aggregated:
+        is_hot = F.col(key).isin(hot or []) | F.col(key).isNull()
+        facts = facts.withColumn("_salt", F.when(is_hot, dealt).otherwise(F.lit(0)))
+        repeated = F.when(F.col("_dim_key").isin(hot or []), F.sequence(F.lit(0), F.lit(salts - 1)))
         renamed = renamed.withColumn("_dim_salt", F.explode(F.coalesce(repeated, F.array(F.lit(0)))))
         on = on & (F.col("_salt") == F.col("_dim_salt"))
     if condition is not None:
@@ -102,21 +106,9 @@ def flag_members(
     size: int | None = None,
     hot: list | None = None,
 ) -> DataFrame:
-    """Add a never-NULL boolean: does the fact's key occur among `keys`?
-
-    A small key set is broadcast. A big one is met in a semi and an anti join
-    over the same two shuffles: both kinds let hot partitions of the facts be
-    split at run time, and repeated keys need no aggregation first. Readers of
-    one side only, such as the accepted rows, get just that join.
-    """
-    wanted = keys.select(F.col(keys.columns[0]).alias(key)).where(F.col(key).isNotNull())
+    """Add a never-NULL boolean: does the fact's key occur among `keys`? Reads and shuffles the facts once."""
     size = estimated_bytes(keys) if size is None else size
-    if size <= limit:
-        marked = wanted.distinct().withColumn(flag, F.lit(True))
-        joined = spread_join(facts, marked, key, "left", limit=limit, size=size)
-        return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    met = [
-        spread_join(facts, wanted, key, how, limit=limit, size=size, hot=hot).withColumn(flag, F.lit(found))
-        for how, found in (("left_semi", True), ("left_anti", False))
-    ]
-    return met[0].unionByName(met[1])
+    wanted = keys.select(F.col(keys.columns[0]).alias(key)).where(F.col(key).isNotNull()).distinct()
+    marked = wanted.withColumn(flag, F.lit(True))
+    joined = spread_join(facts, marked, key, "left", limit=limit, size=size, hot=hot, aggregated=True)
+    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

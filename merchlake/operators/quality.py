@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from merchlake.functions.joins import BROADCAST_LIMIT, flag_members, spread_join
 from merchlake.functions.scalars import order_ts, plain_date
+from merchlake.sources import snapshots
 
 REASON = "validation_failed"
 
@@ -97,6 +98,15 @@ def quarantined(checked: DataFrame) -> DataFrame:
     return checked.where(~F.col("_valid")).drop("_valid").withColumn("_quarantine_reason", F.lit(REASON))
 
 
+def store_split(checked: DataFrame, accepted: DataFrame, good_table: str, bad_table: str) -> tuple[int, int]:
+    """Write both sides of a validated batch as new versions, the rejected side even when it is empty.
+
+    `accepted` is the accepted view of the same `checked` frame. An empty
+    quarantine replaces the rows of an earlier run.
+    """
+    return snapshots.overwrite(accepted, good_table), snapshots.overwrite(quarantined(checked), bad_table)
+
+
 def audit(checked: DataFrame) -> DataFrame:
     """Rows per broken rule, with the accepted rows under `ok`."""
     label = F.explode(F.when(F.col("_valid"), F.array(F.lit("ok"))).otherwise(F.col("_failed_rules")))
@@ -213,5 +223,5 @@ def freshness(df: DataFrame, name: str, column: str, as_of: datetime, sla_minute
 def feature_lookup(entities: DataFrame, features: DataFrame, key: str, **join) -> DataFrame:
     """Attach features by key; `_valid` is false where key or feature row is missing."""
     marked = features.withColumn("_found", F.lit(True))
-    joined = spread_join(entities, marked, key, "left", **join)
+    joined = spread_join(entities, marked, key, "left", **{"aggregated": True, **join})
     return joined.withColumn("_valid", F.coalesce(F.col("_found"), F.lit(False))).drop("_found")

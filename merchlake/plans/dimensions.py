@@ -177,6 +177,67 @@ def products_with_category_reference(spark, sf):
     return dims.enrich(parts, reference, {"category": "category", "sub_category": "sub_category"})
 
 
+@query(
+    "revenue_with_reference_files",
+    f"""SELECT n_name AS region_name, r_name AS country, p_type = 'PROMO' AS is_seasonal, count(*) AS n,
+               {rounded("sum(l_extendedprice)")} AS revenue
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+        JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2, 3""",
+)
+def revenue_with_reference_files(spark, sf):
+    """Lines joined to region and category reference files written as CSV and read back."""
+    load = lambda name: testdata.table(spark, sf, name)
+    region_file, category_file = scratch_path(spark, "regions"), scratch_path(spark, "categories")
+    nations = load("nation").join(load("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    files.export_csv(
+        nations.select(
+            F.col("n_nationkey").cast("string").alias("region_code"),
+            F.col("n_name").alias("region_name"),
+            F.col("r_name").alias("country"),
+            F.lit("UTC").alias("timezone"),
+        ),
+        region_file,
+    )
+    files.export_csv(
+        load("part").select(
+            F.col("p_type").alias("category"),
+            F.col("p_brand").alias("sub_category"),
+            F.lower("p_type").alias("display_name"),
+            F.when(F.col("p_type") == "PROMO", "true").otherwise("false").alias("is_seasonal"),
+            F.lit("high").alias("margin_band"),
+        ).distinct(),
+        category_file,
+    )
+    regions = files.read_reference(spark, region_file, schemas.REGION_REFERENCE)
+    categories = files.read_reference(spark, category_file, schemas.CATEGORY_REFERENCE, ("is_seasonal",))
+    lines = load("lineitem").select("l_partkey", "l_suppkey", "l_extendedprice")
+    placed = (
+        lines.join(load("part").select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(load("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .withColumn("nation", F.col("s_nationkey").cast("string"))
+    )
+    named = dims.enrich(placed, regions, {"nation": "region_code"})
+    named = dims.enrich(named, categories, {"p_type": "category", "p_brand": "sub_category"})
+    return named.groupBy("region_name", "country", "is_seasonal").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.round(F.sum("l_extendedprice"), 6), 2).alias("revenue")
+    )
+
+
+@query(
+    "stored_order_split",
+    """SELECT count(CASE WHEN NOT bad THEN 1 END) AS accepted, count(CASE WHEN bad THEN 1 END) AS rejected
+       FROM (SELECT bad_id OR bad_customer OR bad_product OR bad_price OR bad_time AS bad FROM checked_orders)""",
+)
+def stored_order_split(spark, sf):
+    lake = Lake(spark, sf)
+    good, bad = scratch_path(spark, "orders"), scratch_path(spark, "quarantine")
+    quality.store_split(lake.checked_orders, lake.orders, good, bad)
+    both = snapshots.read(spark, good).select(F.lit(1).alias("a")).unionByName(
+        snapshots.read(spark, bad).select(F.lit(1).alias("b")), allowMissingColumns=True
+    )
+    return both.agg(F.count("a").alias("accepted"), F.count("b").alias("rejected"))
+
+
 # --- snapshots --------------------------------------------------------------
 
 

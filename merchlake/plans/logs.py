@@ -41,7 +41,13 @@ def latency_trend(spark, sf):
     return monitor.latency_trend(*_log(spark, sf))
 
 
-@query("latency_trend_sketched")
+@query(
+    "latency_trend_sketched",
+    f"""SELECT {day('"timestamp"')} AS date, count(*) AS total_predictions, {rounded("avg(latency_ms)")} AS avg_latency,
+               {rounded("quantile_disc(latency_ms, 0.95)")} AS p95_latency,
+               {rounded("quantile_disc(latency_ms, 0.99)")} AS p99_latency, count(error) AS error_count, {_ERROR_RATE}
+        FROM model_log WHERE "timestamp" >= CAST((SELECT now FROM log_clock) AS DATE) - INTERVAL 7 DAY GROUP BY 1""",
+)
 def latency_trend_sketched(spark, sf):
     return monitor.latency_trend(*_log(spark, sf), approximate=True)
 

@@ -19,7 +19,8 @@ def build_session(app: str = "merchlake", master: str | None = None, partitions:
     if partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     spark = (
-        builder.config("spark.ui.enabled", "false")
+        builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("MERCHLAKE_DRIVER_MEMORY", "8g"))
         .getOrCreate()

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from merchlake.functions.joins import checked_broadcast
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True)
@@ -18,6 +20,12 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
+def read_reference(spark: SparkSession, path: str, schema: StructType, booleans: tuple[str, ...] = ()) -> DataFrame:
+    """A small reference CSV, hinted for broadcast if its size allows; "true"/"false" columns become BOOLEAN."""
+    rows = read_csv(spark, path, schema).withColumns({c: F.col(c).try_cast("boolean") for c in booleans})
+    return checked_broadcast(rows)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 

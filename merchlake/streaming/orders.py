@@ -72,12 +72,13 @@ def daily_totals(orders: DataFrame) -> DataFrame:
     )
 
 
-def daily_upsert(table: str) -> Callable[[DataFrame, int], None]:
+def daily_upsert(table: str, keep: int = 20) -> Callable[[DataFrame, int], None]:
     """Batch handler adding each micro-batch's daily totals to a running table.
 
     The state after batch n lives in its own folder. A repeated batch finds its
     folder finished and does nothing, so totals are never added twice. The
-    table has one row per day, so rewriting it per batch stays cheap.
+    table has one row per day, so rewriting it per batch stays cheap; only the
+    last `keep` states are kept.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -93,6 +94,9 @@ def daily_upsert(table: str) -> Callable[[DataFrame, int], None]:
                 .agg(F.sum("num_orders").alias("num_orders"), F.sum("gross_revenue").alias("gross_revenue"))
             )
         fresh.write.mode("overwrite").parquet(_state(table, batch_id))
+        if batch_id >= keep:
+            outdated = spark._jvm.org.apache.hadoop.fs.Path(_state(table, batch_id - keep))
+            outdated.getFileSystem(spark._jsc.hadoopConfiguration()).delete(outdated, True)
 
     return handle
 

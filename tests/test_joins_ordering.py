@@ -95,3 +95,32 @@ def test_percentiles_equal_numpy(spark):
     for r in ordering.percentiles(df, ["g"], "v", probs, pieces=6).collect():
         for name, p in probs.items():
             assert abs(r[name] - np.percentile(data[r["g"]], p * 100)) < 1e-9
+
+
+def test_hot_partition_is_split_at_run_time(spark, tmp_path):
+    """A big key set of unknown hot keys: the join itself gets split, without listing them."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8KB",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    data = spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 500).cast("string"))).alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    keys = data.select("k").distinct()
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        flagged = joins.flag_members(data, keys, "k", "known", limit=-1)
+        assert flagged.where("known").count() == 60000
+        flagged.write.format("noop").mode("overwrite").save()
+        flagged.collect()
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
