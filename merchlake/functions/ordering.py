@@ -167,12 +167,15 @@ def weighted_percentiles(
     ranked = running_weight(counted, group, ["_v"], "_n", before="_before", total="_total", pieces=pieces)
     columns = []
     for name, p in probs.items():
-        spot = F.round(F.lit(float(p)) * (F.col("_total") - 1), 9)
-        low, high = F.floor(spot), F.ceil(spot)
+        # A spot within 1e-9 of a whole rank is that rank.
+        spot = F.lit(float(p)) * (F.col("_total") - 1)
+        low = F.floor(spot + F.lit(1e-9))
+        part = F.when(spot - low > 1e-9, spot - low).otherwise(F.lit(0.0))
+        high = low + F.when(spot - low > 1e-9, F.lit(1)).otherwise(F.lit(0))
         columns += [
             F.max(F.when(_covers(low), F.col("_v"))).alias(f"_{name}_low"),
             F.max(F.when(_covers(high), F.col("_v"))).alias(f"_{name}_high"),
-            F.max(spot - low).alias(f"_{name}_part"),
+            F.max(part).alias(f"_{name}_part"),
         ]
     picked = ranked.groupBy(*group).agg(*columns)
     return picked.select(

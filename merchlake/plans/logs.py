@@ -8,6 +8,7 @@ from merchlake.functions.ordering import percentiles
 from merchlake.functions.scalars import money
 from merchlake.operators import monitor
 from merchlake.plans.registry import CTES, day, moment, query, rounded
+from merchlake.session import spread
 from merchlake.sources import testdata
 
 CTES["log_clock"] = "SELECT max(ts) AS now FROM events"
@@ -185,7 +186,7 @@ def error_rate_per_quarter_hour(spark, sf):
 )
 def price_percentiles_per_line_status(spark, sf):
     found = percentiles(
-        testdata.table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice",
+        spread(testdata.table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber"), ["l_returnflag"], "l_extendedprice",
         {"median": 0.5, "p95": 0.95, "p99": 0.99},
     )
     return found.select("l_returnflag", *[money(c).alias(c) for c in ("median", "p95", "p99")])

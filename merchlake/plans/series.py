@@ -6,10 +6,11 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from merchlake.functions.scalars import money
 from merchlake.operators import features, ml, stats
 from merchlake.plans.commerce import _START, Lake, _today
 from merchlake.plans.registry import CTES, day, query, rounded
-from merchlake.functions.scalars import money
+from merchlake.session import spread
 from merchlake.sources import testdata
 
 CTES["day_series"] = "SELECT order_date, net_revenue FROM revenue_days"
@@ -264,7 +265,7 @@ CTES["drift_psi"] = """
 
 
 def _drift(spark, sf):
-    lines = testdata.table(spark, sf, "lineitem")
+    lines = spread(testdata.table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")
     as_of = testdata.latest(lines, "l_shipdate")
     windows = stats.drift_windows(lines, "l_shipdate", as_of - timedelta(days=1000), as_of)
     shifted = F.when(F.col("is_current"), F.col("l_extendedprice") * 1.5).otherwise(F.col("l_extendedprice"))
