@@ -163,18 +163,29 @@ def weighted_percentiles(
     pieces: int | None = None,
 ) -> DataFrame:
     """`percentiles` over rows that stand for `weight` equal values each (values unique per group)."""
-    counted = merged.select(*group, F.col(value).alias("_v"), F.col(weight).alias("_n"))
-    ranked = running_weight(counted, group, ["_v"], "_n", before="_before", total="_total", pieces=pieces)
+    ranked = running_weight(merged, group, [value], weight, before="_before", total="_total", pieces=pieces)
+    return ranked_percentiles(ranked, group, value, weight, probs)
+
+
+def ranked_percentiles(
+    ranked: DataFrame, group: Sequence[str], value: str, weight: str, probs: dict[str, float],
+    before: str = "_before", total: str = "_total",
+) -> DataFrame:
+    """Percentiles read off the result of `running_weight`."""
+
+    def covers(rank: Column) -> Column:
+        return (F.col(before) <= rank) & (rank < F.col(before) + F.col(weight))
+
     columns = []
     for name, p in probs.items():
         # A spot within 1e-9 of a whole rank is that rank.
-        spot = F.lit(float(p)) * (F.col("_total") - 1)
+        spot = F.lit(float(p)) * (F.col(total) - 1)
         low = F.floor(spot + F.lit(1e-9))
         part = F.when(spot - low > 1e-9, spot - low).otherwise(F.lit(0.0))
         high = low + F.when(spot - low > 1e-9, F.lit(1)).otherwise(F.lit(0))
         columns += [
-            F.max(F.when(_covers(low), F.col("_v"))).alias(f"_{name}_low"),
-            F.max(F.when(_covers(high), F.col("_v"))).alias(f"_{name}_high"),
+            F.max(F.when(covers(low), F.col(value))).alias(f"_{name}_low"),
+            F.max(F.when(covers(high), F.col(value))).alias(f"_{name}_high"),
             F.max(part).alias(f"_{name}_part"),
         ]
     picked = ranked.groupBy(*group).agg(*columns)
@@ -185,7 +196,3 @@ def weighted_percentiles(
             for n in probs
         ],
     )
-
-
-def _covers(rank: Column) -> Column:
-    return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))

@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlake.functions.ordering import running_weight, weighted_percentiles
+from merchlake.functions.ordering import ranked_percentiles, running_weight
 from merchlake.functions.scalars import money
 
 BINS = 10
@@ -102,11 +102,16 @@ def population_stability(
         )
     )
     names = {f"e{i}": i / bins for i in range(1, bins)}
-    edges = weighted_percentiles(merged.where("n_base > 0"), ["feature"], "value", "n_base", names, pieces).select(
+    # Edges and bins are both read off the ranked rows, which start at a
+    # checkpoint: the source itself is read once.
+    ranked = running_weight(
+        merged, ["feature"], ["value"], "n_base", before="_before", total="_total", pieces=pieces
+    )
+    edges = ranked_percentiles(ranked.where("n_base > 0"), ["feature"], "value", "n_base", names).select(
         F.col("feature").alias("_feature"), F.array(*names).alias("_inner")
     )
     # One row per feature name of the call, hence safe to broadcast.
-    placed = merged.join(F.broadcast(edges), F.col("feature") == F.col("_feature"), "left")
+    placed = ranked.join(F.broadcast(edges), F.col("feature") == F.col("_feature"), "left")
     bin_no = F.size(F.filter("_inner", lambda e: e <= F.col("value")))
     counts = placed.groupBy("feature", bin_no.alias("bin")).agg(
         F.sum("n_base").alias("n_base"), F.sum("n_current").alias("n_current")
