@@ -190,10 +190,15 @@ def stream_late_rows(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-@query("stream_model_log_hours")
-def stream_model_log_hours(spark, sf):
-    """Hourly volume of the model log as a stream in complete mode, checked against the batch form in the tests."""
-    source, mark = scratch_path(spark, "model-log"), scratch_path(spark, "mark")
+@query(
+    "stream_chat_log_hours",
+    f"""SELECT {moment("w")} AS window_start, count(*) AS total, count(CASE WHEN status_code >= 400 THEN 1 END) AS errors,
+               round(count(CASE WHEN status_code >= 400 THEN 1 END) / count(*), 4) AS error_rate
+        FROM (SELECT *, date_trunc('hour', request_timestamp) AS w FROM chat_log) GROUP BY w""",
+)
+def stream_chat_log_hours(spark, sf):
+    """Hourly volume and errors of the chat log as a stream in complete mode."""
+    source, mark = scratch_path(spark, "chat-log"), scratch_path(spark, "mark")
     table = scratch_path(spark, "hours")
     log = testdata.chat_log(spark, sf).withColumn("request_timestamp", F.col("request_timestamp").cast("timestamp"))
     log.write.parquet(source)
