@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,6 +26,7 @@ from merchlake.llm.common import Rows
 WORD_END = "</w>"
 # How many fragments and words a task remembers before it starts anew.
 REMEMBERED = 400_000
+NO_MERGE = 1 << 60
 
 # Fixed value: the vocabulary's own split of normalised text.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -32,6 +35,10 @@ SETTLED = regex.compile(
     r"[\u0000-ԯḀ-῿ - ₠-₿℀-⯿　-ヿ一-龥가-힣"
     r"！-～\U0001f300-\U0001f64f]*"
 )
+# The same split for texts up to the Latin extensions, written out as ranges: these run twice as fast.
+LATIN = re.compile(r"[\u0000-\u024f]*")
+_LETTERS, _NUMBERS, _BLANKS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"
+LATIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_BLANKS}{_LETTERS}{_NUMBERS}]+")
 
 
 def byte_symbols() -> dict[int, str]:
@@ -87,21 +94,16 @@ class Encoder:
 
     def merge(self, fragment: tuple[str, ...]) -> tuple[int, ...]:
         """Merge the lowest-ranked pair, leftmost first, until none is left."""
-        parts = list(fragment)
-        while len(parts) > 1:
-            ranked = [self.ranks.get(pair) for pair in zip(parts, parts[1:], strict=False)]
-            best = min((r for r in ranked if r is not None), default=None)
-            if best is None:
-                break
-            merged, i = [], 0
-            while i < len(parts):
-                if i < len(ranked) and ranked[i] == best:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
+        parts, rank = list(fragment), self.ranks.get
+        ranked = [rank(pair, NO_MERGE) for pair in zip(parts, parts[1:], strict=False)]
+        while ranked and (best := min(ranked)) < NO_MERGE:
+            i = ranked.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranked[i]
+            if i > 0:
+                ranked[i - 1] = rank((parts[i - 1], parts[i]), NO_MERGE)
+            if i < len(ranked):
+                ranked[i] = rank((parts[i], parts[i + 1]), NO_MERGE)
         return tuple(self.ids[p] for p in parts if p in self.ids)
 
     def word(self, word: str) -> tuple[int, ...]:
@@ -125,10 +127,14 @@ class Encoder:
                 self.words[word] = found
         return found
 
-    def split(self, normal: str) -> list[str]:
-        if SETTLED.fullmatch(normal):
-            return WORDS.findall(normal)
-        return [normal[a:b] for _, (a, b) in self.split_rare(normal)]
+    def split(self, text: str) -> list[str]:
+        """The words of a text after normalisation."""
+        # The capital sigma is lowered by its neighbours here, but on its own by the tokenizer.
+        if not SETTLED.fullmatch(text) or "\u03a3" in text:
+            normal = self.normalize(text)
+            return [normal[a:b] for _, (a, b) in self.split_rare(normal)]
+        normal = unicodedata.normalize("NFC", text).lower()
+        return (LATIN_WORDS if LATIN.fullmatch(normal) else WORDS).findall(normal)
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
@@ -136,7 +142,7 @@ class Encoder:
             if part in self.specials:
                 ids.append(self.specials[part])
             elif part:
-                for word in self.split(self.normalize(part)):
+                for word in self.split(part):
                     ids.extend(self.words.get(word) or self.word(word))
         return ids
 
