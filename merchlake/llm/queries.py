@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import bpe, licences, sharding, sql, topk
-from merchlake.llm.common import read
+from merchlake.llm import bpe, licences, sharding, sql, topk, toxicity
+from merchlake.llm.common import key_crc, read
 from merchlake.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,19 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("notice_ids", F.array_join("notice_ids", ","))
 
 
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, toxicity.trained_part(labels))
+    return toxicity.score_texts(docs, model).select(
+        "doc_id",
+        (key_crc("doc_id") % 3 == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        "matched_words",
+    )
+
+
 @query("op8_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_id_digest(bpe.encode_texts(read(spark, sf_dir, "documents"), tokenizer_path()))
