@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import bpe, licences, sharding, sql, topk, toxicity
+from merchlake.llm import bpe, licences, sharding, simhash, sql, topk, toxicity
 from merchlake.llm.common import key_crc, read
 from merchlake.session import tune
 
@@ -35,6 +35,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_simhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(read(spark, sf_dir, "documents"), words=4, radius=4)
+
+
 @query("op3_licences", sql.LICENCES)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan_licences(read(spark, sf_dir, "documents"))
