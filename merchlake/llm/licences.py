@@ -9,6 +9,8 @@ inside a longer document is found as well. Only built-in functions are used.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,18 @@ SPELLINGS = [
 ]
 COPYRIGHT_LINE = r"(?m)^[ \t]*(copyright|\(c\)|©)[^\n]*$"
 SEPARATORS = r"[^\p{L}\p{N}]+"
+# The same inside a line, but for a single blank, which stays what it is.
+SEPARATORS_IN_LINE = r" ?[^\p{L}\p{N}\n ][^\p{L}\p{N}\n]*| {2,}"
+
+def _outcomes() -> re.Pattern:
+    """Matches every word that a replacement may bring about."""
+    words = []
+    for pattern, spelling in SPELLINGS:
+        for number, group in enumerate(re.findall(r"\([^)]*\)\??", pattern), start=1):
+            spelling = spelling.replace(f"\\{number}", group)
+        words.append(spelling)
+    return re.compile("|".join(f"(?:{w})" for w in words))
+
 
 # Licence notices and short licences, by SPDX id.
 _GRANT = (
@@ -112,18 +126,49 @@ KNOWN = [
 ]
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text; words are parted by one space."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " "), SEPARATORS, "  ")
+def with_canonical_lines(rows: DataFrame, low: str) -> DataFrame:
+    """Add `_lines`: the canonical form of every line of the lower-case text in column `low`.
+
+    Words are parted by one blank, lines stay parted; NULL stays NULL. Every step
+    is a column of its own, so that none is computed twice.
+    """
+    text = F.col(low)
+    has_notice = text.contains("copyright") | text.contains("(c)") | text.contains("©")
+    body = F.when(has_notice, F.regexp_replace(text, COPYRIGHT_LINE, " ")).otherwise(text)
+    words = F.trim(F.regexp_replace("_body", SEPARATORS_IN_LINE, " "))
+    # Few texts hold one of the words to be replaced; only these go through all replacements.
+    some = f"(^|[ \\n])({'|'.join(p for p, _ in SPELLINGS)})([ \\n]|$)"
+    # Words then stand between two blanks each, so that neighbours can both be replaced.
+    apart = F.concat(F.lit(" "), F.replace(F.replace("_words", F.lit(" "), F.lit("  ")), F.lit("\n"), F.lit(" \n ")), F.lit(" "))
     for pattern, spelling in SPELLINGS:
-        # Words stand between two blanks each, so that neighbours can both be replaced.
-        groups = spelling.replace("\\2", "$3").replace("\\1", "$2")
-        words = F.regexp_replace(words, f"(^| ){pattern}( |$)", f"$1{groups}${1 + pattern.count('(') + 1}")
-    return F.trim(F.regexp_replace(words, " +", " "))
+        groups = spelling.replace("\\2", "$2").replace("\\1", "$1")
+        apart = F.regexp_replace(apart, f" {pattern} ", f" {groups} ")
+    respelled = F.when(F.col("_words").rlike(some), F.regexp_replace(apart, " +", " ")).otherwise(F.col("_words"))
+    return rows.withColumn("_body", body).withColumn("_words", words).withColumn("_lines", respelled).drop("_body", "_words")
 
 
-def digest(text: Column) -> Column:
-    return F.sha2(canonical(text), 256)
+def one_line(lines: Column) -> Column:
+    return F.trim(F.regexp_replace(lines, "[ \n]+", " "))
+
+
+def may_match(low: Column, known: list[str]) -> Column:
+    """False only for lower-case texts in which no line, nor the whole, can be one of the known texts.
+
+    A text that equals a known one in canonical form holds each of its words; up
+    to four of them, the longest that no replacement brings about, are looked for.
+    """
+    respelled, wanted = _outcomes(), set()
+    for text in known:
+        body = re.sub(COPYRIGHT_LINE, " ", text.lower())
+        words = {w for w in re.findall(r"(?<![^\W_])[a-z0-9]{2,}(?![^\W_])", body) if not respelled.fullmatch(w)}
+        wanted.add(tuple(sorted(words, key=lambda w: (-len(w), w))[:4]))
+    some = F.lit(False)
+    for words in sorted(wanted):
+        every = F.lit(True)
+        for word in words:
+            every = every & low.contains(word)
+        some = some | every
+    return some
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
@@ -132,46 +177,48 @@ def known_licences(spark: SparkSession) -> DataFrame:
 
 
 def scan_licences(docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, text_digest, licence_id, notice_ids, n_notice_lines.
+    """One row per input row: doc_id, licence_id, notice_ids, n_notice_lines.
 
     licence_id is the licence whose known text equals the whole text in
     canonical form, else NULL (of several the first by name); notice_ids are the
     licences whose known text equals a line, sorted, without repetition;
     n_notice_lines counts such lines. `known` has the columns licence_id and text
-    and defaults to known_licences(). A NULL or empty text, or one without
-    letters and digits, matches nothing; its digest is that of the empty text.
-    Repeated rows and NULL ids are kept. An empty table gives an empty result.
-    Other input columns, whatever their names, are not read.
+    and defaults to known_licences(); it is the caller's reference table, of
+    which the driver reads the texts. A NULL or empty text, or one without letters
+    and digits, matches nothing. Repeated rows and NULL ids are kept. An empty
+    table gives an empty result. Other input columns, whatever their names, are
+    not read.
     """
     known = known_licences(docs.sparkSession) if known is None else known
     nothing = F.sha2(F.lit(""), 256)
+    forms = with_canonical_lines(known.select("licence_id", F.lower(F.coalesce("text", F.lit(""))).alias("_low")), "_low")
     digests = (
-        known.select(F.col("licence_id").alias("_licence"), digest(F.coalesce("text", F.lit(""))).alias("_digest"))
+        forms.select(F.col("licence_id").alias("_licence"), F.sha2(one_line(F.col("_lines")), 256).alias("_digest"))
         .where(F.col("_digest") != nothing)
         .groupBy("_digest")
         .agg(F.min("_licence").alias("_licence"))
     )
     digests = checked_broadcast(digests)
+    candidate = may_match(F.col("_low"), [r["text"] or "" for r in known.select("text").collect()])
     content = F.coalesce(docs[text_col], F.lit(""))
-    rows = docs.select(docs[id_col].alias("doc_id"), content.alias("_text"), F.xxhash64(content).alias("_hash"))
-    lines = rows.select("doc_id", "_hash", F.posexplode(F.split("_text", "\n")).alias("_at", "_line"))
-    hits = (
-        lines.select("doc_id", "_hash", "_at", digest(F.col("_line")).alias("_line_digest"))
-        .join(digests, F.col("_line_digest") == F.col("_digest"))
-        .groupBy("doc_id", "_hash")
-        # A set, as equal rows are met once each.
-        .agg(F.collect_set(F.struct("_at", "_licence")).alias("_found"))
-        .select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_key"), "_found")
-    )
-    whole = rows.select("doc_id", "_hash", digest(F.col("_text")).alias("text_digest"))
-    found = whole.join(digests, F.col("text_digest") == F.col("_digest"), "left").join(
-        hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")), "left"
+    rows = docs.select(docs[id_col].alias("doc_id"), F.xxhash64(content).alias("_hash"), F.lower(content).alias("_low"))
+    rows = with_canonical_lines(rows.withColumn("_low", F.when(candidate, F.col("_low"))), "_low").drop("_low")
+    # Unit 0 is the whole text, the others are its lines; texts that cannot match have unit 0 alone, without a form.
+    units = F.concat(F.array(F.regexp_replace("_lines", "[ \n]+", " ")), F.split("_lines", "\n"))
+    rows = rows.select("doc_id", "_hash", F.posexplode(F.coalesce(units, F.array(F.lit(None)))).alias("_unit", "_form"))
+    rows = rows.select("doc_id", "_hash", "_unit", F.sha2(F.trim("_form"), 256).alias("_own"))
+    is_whole = F.col("_unit") == 0
+    found = rows.join(digests, F.col("_own") == F.col("_digest"), "left").where(is_whole | F.col("_licence").isNotNull())
+    # Equal rows come together here and are parted again; a set, as each of them brings the same lines.
+    grouped = found.groupBy("doc_id", "_hash").agg(
+        F.count_if(is_whole).alias("_rows"),
+        F.max(F.when(is_whole, F.col("_licence"))).alias("licence_id"),
+        F.collect_set(F.when(~is_whole, F.struct("_unit", "_licence"))).alias("_found"),
     )
-    ids = F.sort_array(F.array_distinct(F.col("_found._licence")))
-    return found.select(
+    grouped = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_rows"))))
+    return grouped.select(
         "doc_id",
-        "text_digest",
-        F.col("_licence").alias("licence_id"),
-        F.coalesce(ids, F.array().cast("array<string>")).alias("notice_ids"),
-        F.coalesce(F.size("_found"), F.lit(0)).cast("long").alias("n_notice_lines"),
+        "licence_id",
+        F.sort_array(F.array_distinct(F.col("_found._licence"))).alias("notice_ids"),
+        F.size("_found").cast("long").alias("n_notice_lines"),
     )

@@ -75,7 +75,7 @@ WITH known AS (
   SELECT doc_id, array_to_string(list_sort(list_distinct(list(licence_id))), ',') AS notice_ids, count(*) AS n
   FROM lines JOIN known ON sha256({canonical("line")}) = digest GROUP BY doc_id
 )
-SELECT d.doc_id, sha256({canonical("coalesce(d.text, '')")}) AS text_digest, k.licence_id,
+SELECT d.doc_id, k.licence_id,
        coalesce(h.notice_ids, '') AS notice_ids, coalesce(h.n, 0)::BIGINT AS n_notice_lines
 FROM documents d
 LEFT JOIN known k ON k.digest = sha256({canonical("coalesce(d.text, '')")})
