@@ -21,11 +21,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchlake.llm.common import Rows
+from merchlake.llm.common import Rows, rows_of
 
 WORD_END = "</w>"
 # How many fragments and words a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 NO_MERGE = 1 << 60
 
 # Fixed value: the vocabulary's own split of normalised text.
@@ -169,7 +169,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, out = encoder(path), Rows(schema)
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, text in rows_of(batch):
                 ids = own.encode(text or "")
                 # A list holds 8 bytes and more for each id until the batch is made.
                 yield from out.add((key, np.array(ids, dtype=np.int32), own.decode(ids)), 4 * len(ids) + 2 * len(text or "") + 64)

@@ -33,6 +33,13 @@ def key_crc(column: str) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The rows of a batch as Python values, one at a time, so that a batch of long texts is not held twice."""
+    columns = batch.columns
+    for i in range(batch.num_rows):
+        yield tuple(c[i].as_py() for c in columns)
+
+
 class Rows:
     """Collects result rows inside a task and hands them on as Arrow batches of bounded size."""
 

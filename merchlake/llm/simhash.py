@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlake.llm.common import Rows, kept
+from merchlake.llm.common import Rows, kept, rows_of
 from merchlake.llm.graph import components
 
 BITS = 64
@@ -215,7 +215,7 @@ def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(schema)
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, text in rows_of(batch):
                 bits = fingerprint(shingle_hashes(text, words))
                 yield from out.add((key, bits - (1 << 64) if bits >> 63 else bits), 16)
         yield from out.flush()
@@ -292,7 +292,7 @@ def _described(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(schema)
         for batch in batches:
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for row, text in rows_of(batch):
                 hashes = shingle_hashes(text, words)
                 node = xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), 7)
                 least = sketch(hashes)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchlake.llm.common import Rows, key_crc, kept
+from merchlake.llm.common import Rows, key_crc, kept, rows_of
 
 # Look-alike letters (Cyrillic, Greek, full width) and the Latin letter each stands for.
 LOOKALIKES = {
@@ -134,7 +134,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts[1].clear()
 
     for batch in batches:
-        for folded, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for folded, toxic in rows_of(batch):
             counts[toxic].update(terms_of(folded))
             if len(counts[0]) + len(counts[1]) > 2_000_000:
                 yield from emit()
@@ -187,7 +187,7 @@ def fit(
     def folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(pa.schema([("folded", pa.string()), ("toxic", pa.int32()), ("near", pa.int64())]))
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, toxic in rows_of(batch):
                 f = fold(text)
                 yield from out.add((f, toxic, _near_copy_key(f)), len(f) + 64)
         yield from out.flush()
@@ -224,7 +224,7 @@ def fit(
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, out = machine_of(), Rows(pa.schema([("weight", pa.float64()), ("words", pa.int64()), ("toxic", pa.int32())]))
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for text, toxic in rows_of(batch):
                 weight, _, words = weigh(machine, text)
                 yield from out.add((weight, words, toxic))
         yield from out.flush()
@@ -291,7 +291,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, out = model.automaton(), Rows(schema)
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for key, text in rows_of(batch):
                 weight, matched, words = weigh(machine, text)
                 yield from out.add((key, model.score(features(weight, words)), weight, matched, words))
         yield from out.flush()
