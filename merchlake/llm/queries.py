@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import bpe, licences, sharding, simhash, sql, topk, toxicity
+from merchlake.llm import bpe, language, licences, sharding, simhash, sql, topk, toxicity
 from merchlake.llm.common import key_crc, read
 from merchlake.session import tune
 
@@ -59,6 +59,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language.fit(language.learnable(docs))
+    found = language.classify(docs, model)
+    return found.select("doc_id", (key_crc("doc_id") % 5 == 0).alias("held_out"), "lang_pred", "score")
+
+
 @query("op8_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_id_digest(bpe.encode_texts(read(spark, sf_dir, "documents"), tokenizer_path()))
