@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import bpe, language, licences, sharding, simhash, sql, topk, toxicity
+from merchlake.llm import bpe, decontaminate, language, licences, sharding, simhash, sql, topk, toxicity
 from merchlake.llm.common import key_crc, read
 from merchlake.session import tune
 
@@ -59,6 +59,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_benchmark_items")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query("op7_language")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
