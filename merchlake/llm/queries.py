@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import bpe, decontaminate, language, licences, sharding, simhash, sql, topk, toxicity
+from merchlake.llm import bpe, decontaminate, language, licences, sharding, simhash, sql, topk, toxicity, warc
 from merchlake.llm.common import key_crc, read
-from merchlake.session import tune
+from merchlake.session import scratch_path, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,6 +59,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_warc", sql.WARC)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archives(read(spark, sf_dir, "pages"), path)
+    index = warc.merge_index(warc.read_archives(spark, path))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "position", "capture")
+
+
 @query("op6_benchmark_items")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -81,3 +81,27 @@ FROM documents d
 LEFT JOIN known k ON k.digest = sha256({canonical("coalesce(d.text, '')")})
 LEFT JOIN hits h ON h.doc_id = d.doc_id
 """
+
+
+WARC = r"""
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS payload, coalesce(url, '') AS url,
+         regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)([^#]*)', ['host', 'rest']) AS u
+  FROM pages
+), keyed AS (
+  SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest,
+         CASE WHEN u.host = '' AND u.rest = '' THEN lower(url) ELSE
+           array_to_string(list_reverse(string_split(
+             regexp_replace(regexp_replace(regexp_replace(lower(u.host), '^.*@', ''), ':[0-9]+$', ''), '^www\.', ''), '.')), ',')
+           || ')' || CASE WHEN u.rest = '' THEN '/' ELSE lower(u.rest) END END AS urlkey
+  FROM sized
+), judged AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM keyed
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to,
+       urlkey, row_number() OVER (ORDER BY urlkey, page_id) - 1 AS position,
+       row_number() OVER (PARTITION BY urlkey ORDER BY page_id) AS capture
+FROM judged
+"""
