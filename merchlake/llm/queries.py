@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import bpe, decontaminate, language, licences, sharding, simhash, sql, topk, toxicity, warc
+from merchlake.llm import bpe, decontaminate, language, licences, sharding, simhash, sql, surrogates, topk, toxicity, warc
 from merchlake.llm.common import key_crc, read
 from merchlake.session import scratch_path, tune
 
@@ -35,6 +35,17 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """The key of the surrogates: a secret of the cluster's settings, with a stand-in for trials."""
+    return spark.conf.get("spark.merchlake.surrogate.key", "merchlake")
+
+
+@query("op1_surrogates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replace_personal_data(docs, surrogate_key(spark), count_col="n_entities")
+
+
 @query("op2_simhash")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(read(spark, sf_dir, "documents"), words=4, radius=4)

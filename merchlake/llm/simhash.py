@@ -153,7 +153,7 @@ def _search(radius: int, agreement: float | None):
         order = np.argsort(nodes, kind="stable")
         marks = None
         if agreement is not None:
-            marks = np.frombuffer(b"".join(members.field(2).to_pylist()), np.uint16).reshape(-1, SKETCH)[order]
+            marks = np.frombuffer(b"".join(members.field(2).to_pylist()), np.uint8).reshape(-1, SKETCH)[order]
         return nodes[order], prints[order].view(np.uint64), marks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +296,7 @@ def _described(words: int):
                 hashes = shingle_hashes(text, words)
                 node = xxhash.xxh64_intdigest(hashes.astype("<u8").tobytes(), 7)
                 least = sketch(hashes)
-                marks = ((least * mix) >> np.uint64(48)).astype("<u2").tobytes()
+                marks = ((least * mix) >> np.uint64(56)).astype(np.uint8).tobytes()
                 bands = least[: BANDS * BAND_ROWS].astype("<u8").reshape(BANDS, BAND_ROWS)
                 keys = np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(bands)], np.uint64).view(np.int64)
                 both = np.array([node, fingerprint(hashes)], np.uint64).view(np.int64)
