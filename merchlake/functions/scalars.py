@@ -101,14 +101,16 @@ def plain_date(column: str) -> Column:
 def fingerprint(columns: list[str], null_token: str | None = "\u0000") -> Column:
     """SHA-256 over the listed columns.
 
-    NULL takes part as `null_token`, so a value moving between two nullable
-    columns changes the hash. With `null_token=None` NULLs are skipped, which
-    is what a bare concat_ws does.
+    Each value takes part with its length in front, NULL as `null_token`, so
+    different rows never give the same text to hash. With `null_token=None`
+    the values are joined by `|` and NULLs skipped, which is what a bare concat_ws
+    does; values that contain `|` can then look alike.
     """
     parts = [F.col(c).cast("string") for c in columns]
-    if null_token is not None:
-        parts = [F.coalesce(p, F.lit(null_token)) for p in parts]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    if null_token is None:
+        return F.sha2(F.concat_ws("|", *parts), 256)
+    sized = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit(null_token)) for p in parts]
+    return F.sha2(F.concat(*sized), 256)
 
 
 def blank_trim(column: Column) -> Column:

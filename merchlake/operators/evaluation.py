@@ -72,10 +72,10 @@ def layer_report(results: DataFrame, layer: str = "layer") -> DataFrame:
 
 
 def failed_rows(results: DataFrame, width: int = 200) -> DataFrame:
-    """Failed questions with the start of their answer for reading."""
+    """Failed questions with their answer, and its start for reading."""
     return results.where(F.col("keyword_pass") == 0.0).withColumn(
         "answer_head", F.substring("agent_answer", 1, width)
-    ).drop("agent_answer")
+    )
 
 
 def overlap_score(answer: Column, expected: Column) -> Column:

@@ -20,7 +20,6 @@ ROLLING = (7, 14, 30)
 CALENDAR = ("day_of_week", "day_of_month", "month", "week_of_year")
 FEATURES = [*CALENDAR, *[f"lag_{k}" for k in LAGS], *[f"rolling_mean_{n}" for n in ROLLING]]
 HISTORY = 30
-MAX_HORIZON = 90
 
 
 def calendar(day: str) -> dict[str, Column]:
@@ -117,12 +116,14 @@ def horizon_features(
     day: str = "order_date",
     series: Sequence[str] = (),
 ) -> DataFrame:
-    """Feature rows for the days after `as_of`, at most 90, all built on the same last 30 values.
+    """Feature rows for the `horizon` days after `as_of`, all built on the same last 30 values.
 
     Lags beyond the history fall back to its oldest value; rolling means use
     what exists. Predictions are not fed back.
     """
-    days = min(int(horizon), MAX_HORIZON)
+    days = int(horizon)
+    if days < 1:
+        raise ValueError("horizon must be positive")
     last = tail(daily.select(*series, day, value).where(F.col(value).isNotNull()), HISTORY, day, series)
     ordered = F.sort_array(F.collect_list(F.struct(day, value)))
     history = last.groupBy(*series).agg(F.transform(ordered, lambda r: r[value].cast("double")).alias("_h"))

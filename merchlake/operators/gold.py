@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from merchlake.functions.ordering import row_numbers, running_weight, tile
 from merchlake.functions.scalars import as_day, money, ratio
 
+# Lists into which the products of one category and amount are dealt; a list holds a share of them.
+LEVEL_BUCKETS = 1024
+
 
 def _stacked(orders: DataFrame, returns: DataFrame, shared: list[str], of_orders: list[str], of_returns: list[str]):
     return orders.select(*shared, *of_orders).unionByName(
@@ -223,10 +226,19 @@ def product_features(orders: DataFrame, products: DataFrame, as_of: datetime, pi
         F.coalesce(F.col("units_sold_30d"), F.lit(0)).alias("units_sold_30d"),
         money(ratio(F.coalesce(F.col("_now"), F.lit(0.0)), F.col("_earlier")), 4).alias("trend_score"),
     )
-    levels = base.groupBy("category", "gmv_30d").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_weight(levels, ["category"], [F.desc("gmv_30d")], "_n", before="_higher", pieces=pieces)
-    rank = ranked.select("category", "gmv_30d", (F.col("_higher") + 1).alias("category_rank"))
-    return base.join(rank, ["category", "gmv_30d"])
+    # Money in whole cents; the products of a category with the same amount are one level, kept as a list of rows per
+    # bucket of ids, so that the level of all products without sales is no single row.
+    cents = F.round(F.col("gmv_30d") * 100).cast("bigint")
+    buckets = base.withColumn("_cents", cents).groupBy(
+        "category", "_cents", F.pmod(F.xxhash64("product_id"), F.lit(LEVEL_BUCKETS)).alias("_bucket")
+    ).agg(F.count(F.lit(1)).alias("_n"), F.collect_list(F.struct("product_id", "gmv_30d", "units_sold_30d", "trend_score")).alias("_rows"))
+    ranked = running_weight(buckets, ["category"], [F.desc("_cents"), "_bucket"], "_n", before="_before", pieces=pieces)
+    # A level's rank is that of its first bucket.
+    firsts = ranked.groupBy(F.col("category").alias("_c"), F.col("_cents").alias("_l")).agg(F.min("_before").alias("_higher"))
+    ranks = ranked.join(firsts, F.col("category").eqNullSafe(F.col("_c")) & (F.col("_cents") == F.col("_l")))
+    return ranks.select("category", (F.col("_higher") + 1).alias("category_rank"), F.inline("_rows")).select(
+        "product_id", "category", "gmv_30d", "units_sold_30d", "trend_score", "category_rank"
+    )
 
 
 def churn_scores(metrics: DataFrame, orders: DataFrame, as_of: datetime, scores: DataFrame) -> DataFrame:

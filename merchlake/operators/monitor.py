@@ -66,6 +66,7 @@ def version_comparison(log: DataFrame, as_of: datetime, hours: int = 24, approxi
     rows = log.where(since("timestamp", as_of, hours=hours))
     aggs = [
         F.count(F.lit(1)).alias("total_calls"),
+        F.min("timestamp").alias("first_seen"),
         money(F.avg("latency_ms")).alias("avg_latency_ms"),
         *_error_columns("errors"),
     ]
@@ -263,8 +264,8 @@ def feature_shift(log: DataFrame, features: list[str], as_of: datetime, hours: i
 
 
 def slower_versions(comparison: DataFrame, limit_pct: float = 20.0) -> DataFrame:
-    """Each version's mean latency against the version before it (one row per version)."""
-    previous = F.lag("avg_latency_ms").over(Window.orderBy("model_version"))
+    """Each version's mean latency against the version before it (one row per version), in the order of `first_seen`."""
+    previous = F.lag("avg_latency_ms").over(Window.orderBy("first_seen", "model_version"))
     change = ratio((F.col("avg_latency_ms") - F.col("_previous")) * 100, F.col("_previous"))
     return comparison.withColumn("_previous", previous).select(
         "model_version",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,8 +14,10 @@ from pyspark.sql import functions as F
 
 from merchlake.functions.scalars import words
 
-MAX_QUERIES = 1024
+QUERY_ROWS = 1024
 BLOCK_ROWS = 20_000
+BLOCK_BYTES = 16 * 1024 * 1024
+BUCKETS = 16
 DIGITS = 6
 
 
@@ -50,21 +51,64 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return usable[order]
 
 
-def _score_block(query_ids, query_units, ids, vectors, k, min_score) -> pd.DataFrame:
+def _score_block(query_ids, query_units, ids, units, k, min_score) -> pd.DataFrame:
     """The block's k best rows for every query."""
     empty = pd.DataFrame({"query_id": [], "id": [], "score": []}).astype(
         {"query_id": "int64", "id": "int64", "score": "float64"}
     )
     if len(ids) == 0 or len(query_ids) == 0:
         return empty
-    scores = np.round(query_units @ _unit(vectors).T, DIGITS)
+    scores = np.round(query_units @ units.T, DIGITS)
     if min_score is not None:
         scores[scores < min_score] = np.nan
     parts = []
     for row, query in enumerate(query_ids):
         best = _best(scores[row], ids, k)
         parts.append(pd.DataFrame({"query_id": query, "id": ids[best], "score": scores[row][best]}))
-    return pd.concat(parts) if parts else empty
+    return pd.concat(parts)
+
+
+def _packed(rows: DataFrame, block_rows: int) -> DataFrame:
+    """Blocks of (id, vector) rows that share a bucket: unit vectors and ids as bytes, at most BLOCK_BYTES of vectors."""
+
+    def block(bucket: int, ids: list, vectors: list) -> pd.DataFrame:
+        units = _unit(vectors)
+        packed = (bucket, np.array(ids, dtype="int64").tobytes(), units.tobytes(), units.shape[1])
+        return pd.DataFrame([packed], columns=["bucket", "ids", "units", "dims"])
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_blocks: dict[int, tuple[list, list]] = {}
+        for batch in batches:
+            for bucket, key, vector in zip(batch["bucket"], batch["id"], batch["vector"]):
+                ids, vectors = open_blocks.setdefault(int(bucket), ([], []))
+                ids.append(key)
+                vectors.append(vector)
+                if len(ids) >= block_rows or len(ids) * len(vector) * 8 >= BLOCK_BYTES:
+                    yield block(int(bucket), *open_blocks.pop(int(bucket)))
+        for bucket, (ids, vectors) in open_blocks.items():
+            yield block(bucket, ids, vectors)
+
+    return rows.mapInPandas(pack, "bucket BIGINT, ids BINARY, units BINARY, dims INT")
+
+
+def _meeting(corpus: DataFrame, queries: DataFrame, k: int, min_score: float | None) -> DataFrame:
+    """Every query block meets the corpus blocks of its bucket; each meeting hands on k rows per query, k per query stay."""
+    asked = queries.select("bucket", *[F.col(c).alias(f"q_{c}") for c in ("ids", "units", "dims")])
+    pairs = asked.join(corpus, "bucket").drop("bucket").repartition(F.xxhash64("q_ids"), F.xxhash64("ids"))
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                query_units = np.frombuffer(row.q_units).reshape(-1, row.q_dims)
+                units = np.frombuffer(row.units).reshape(-1, row.dims)
+                yield _score_block(np.frombuffer(row.q_ids, "int64"), query_units, np.frombuffer(row.ids, "int64"), units, k, min_score)
+
+    found = pairs.mapInPandas(meet, "query_id BIGINT, id BIGINT, score DOUBLE")
+    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    return (
+        found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
+        .select("query_id", "id", "score", "rank")
+    )
 
 
 def nearest(
@@ -72,7 +116,7 @@ def nearest(
     queries: DataFrame,
     k: int = 4,
     min_score: float | None = None,
-    max_queries: int = MAX_QUERIES,
+    query_rows: int = QUERY_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Exact k nearest corpus rows per query by cosine, at least `min_score`.
@@ -81,90 +125,24 @@ def nearest(
     Scores are rounded to six places, ties go to the smaller id, vectors
     without length are never returned.
 
-    Up to `max_queries` queries travel to the executors as one matrix and the
-    corpus is read once without a shuffle; each task hands on only its k best
-    rows per query. More queries are cut into blocks that meet corpus blocks in
-    a grouped join; each pair of blocks again hands on k rows per query.
+    Both sides are packed into blocks where they lie; then every query block is
+    sent to every corpus block, whatever the number of queries. A block is sent
+    as bytes, and each meeting hands on k rows per query.
     """
-    columns = "query_id BIGINT, id BIGINT, score DOUBLE"
-    corpus = corpus.select(F.col("id").cast("bigint").alias("id"), "vector")
-    queries = queries.select(F.col("query_id").cast("bigint").alias("query_id"), "vector")
-    head = queries.limit(max_queries + 1).collect()
-    if len(head) <= max_queries:
-        found = _with_matrix(corpus, head, k, min_score, columns)
-    else:
-        found = _with_blocks(corpus, queries, k, min_score, columns, max_queries, block_rows)
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (
-        found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
-        .select("query_id", "id", "score", "rank")
-    )
-
-
-def _with_matrix(corpus, rows, k, min_score, columns):
-    if not rows:
-        return corpus.sparkSession.createDataFrame([], columns)
-    shared = corpus.sparkSession.sparkContext.broadcast(
-        (np.array([r["query_id"] for r in rows]), _unit([r["vector"] for r in rows]))
-    )
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, units = shared.value
-        kept = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            found = _score_block(ids, units, batch["id"].to_numpy(), batch["vector"], k, min_score)
-            merged = found if kept is None else pd.concat([kept, found])
-            ordered = merged.sort_values(["query_id", "score", "id"], ascending=[True, False, True])
-            kept = ordered.groupby("query_id").head(k)
-        if kept is not None:
-            yield kept
-
-    return corpus.mapInPandas(scan, columns)
-
-
-def _with_blocks(corpus, queries, k, min_score, columns, max_queries, block_rows):
-    query_blocks = math.ceil(queries.count() / max_queries)
-    corpus_blocks = max(1, math.ceil(corpus.count() / block_rows))
-    left = queries.select(
-        "query_id",
-        "vector",
-        F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("_q"),
-        F.explode(_numbers(corpus_blocks)).alias("_c"),
-    )
-    right = corpus.select(
-        "id",
-        "vector",
-        F.pmod(F.xxhash64("id"), F.lit(corpus_blocks)).alias("_c"),
-        F.explode(_numbers(query_blocks)).alias("_q"),
-    )
-
-    def meet(block_queries: pd.DataFrame, block_rows_: pd.DataFrame) -> pd.DataFrame:
-        units = _unit(block_queries["vector"]) if len(block_queries) else np.empty((0, 0))
-        return _score_block(
-            block_queries["query_id"].to_numpy(),
-            units,
-            block_rows_["id"].to_numpy(),
-            block_rows_["vector"],
-            k,
-            min_score,
-        )
-
-    return left.groupBy("_q", "_c").cogroup(right.groupBy("_q", "_c")).applyInPandas(meet, columns)
+    packed = _packed(corpus.select(F.col("id").cast("bigint").alias("id"), "vector", F.lit(0).alias("bucket")), block_rows)
+    packed = packed.withColumn("bucket", F.pmod(F.xxhash64("ids"), F.lit(BUCKETS)).cast("bigint"))
+    asked = _packed(queries.select(F.col("query_id").cast("bigint").alias("id"), "vector", F.lit(0).alias("bucket")), query_rows)
+    asked = asked.withColumn("bucket", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(BUCKETS - 1).cast("bigint"))))
+    return _meeting(packed, asked, k, min_score)
 
 
-def _numbers(n: int) -> Column:
-    return F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))
-
-
-def cell_centres(corpus: DataFrame, cells: int, seed: int = 42, fraction: float = 1.0) -> list[list[float]]:
+def cell_centres(corpus: DataFrame, cells: int, seed: int = 42, fraction: float = 1.0, rounds: int = 10) -> list[list[float]]:
     """Centres of `cells` clusters of the unit vectors, learnt distributedly, optionally on a sample."""
     rows = corpus if fraction >= 1.0 else corpus.sample(fraction, seed)
     units = Normalizer(inputCol="_v", outputCol="features").transform(
         rows.select(array_to_vector(F.col("vector").cast("array<double>")).alias("_v"))
     )
-    model = KMeans(k=cells, seed=seed, maxIter=10).fit(units)
+    model = KMeans(k=cells, seed=seed, maxIter=rounds).fit(units)
     return [[float(x) for x in c] for c in model.clusterCenters()]
 
 
@@ -183,41 +161,23 @@ def assign_cells(rows: DataFrame, centres: list[list[float]], probes: int = 1, n
 
 def nearest_in_cells(
     indexed: DataFrame, queries: DataFrame, centres: list[list[float]], k: int = 4, probes: int = 2,
-    max_queries: int = MAX_QUERIES,
+    query_rows: int = QUERY_ROWS, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Approximate k nearest: each query looks only into its `probes` closest cells.
 
     `indexed` is (id, vector, cell), best stored partitioned by cell so that
-    unprobed cells are never read. Scoring inside the cells is exact.
+    unprobed cells are never read. Scoring inside the cells is exact. Queries and
+    rows are packed by cell and meet on the cell number; the blocks of a large
+    cell are dealt over all tasks.
     """
-    placed = assign_cells(queries.select(F.col("query_id").cast("bigint"), "vector"), centres, probes)
-    head = placed.limit(max_queries + 1).collect()
-    if len(head) > max_queries:
-        raise ValueError(f"more than {max_queries} queries; pass them in batches")
-    wanted: dict[int, list] = {}
-    for row in head:
-        for cell in row["cells"]:
-            wanted.setdefault(int(cell), []).append(row)
-    shared = indexed.sparkSession.sparkContext.broadcast(
-        {c: (np.array([r["query_id"] for r in rows]), _unit([r["vector"] for r in rows])) for c, rows in wanted.items()}
-    )
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        by_cell = shared.value
-        for batch in batches:
-            for cell, rows in batch.groupby("cell"):
-                if cell in by_cell:
-                    ids, units = by_cell[cell]
-                    yield _score_block(ids, units, rows["id"].to_numpy(), rows["vector"], k, None)
-
-    found = indexed.where(F.col("cell").isin(sorted(wanted))).select(
-        F.col("id").cast("bigint").alias("id"), "vector", "cell"
-    ).mapInPandas(scan, "query_id BIGINT, id BIGINT, score DOUBLE")
-    best_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (
-        found.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
-        .select("query_id", "id", "score", "rank")
+    placed = assign_cells(queries.select(F.col("query_id").cast("bigint").alias("id"), "vector"), centres, probes)
+    wanted = placed.select("id", "vector", F.explode(F.col("cells").cast("array<bigint>")).alias("bucket"))
+    # As many rows as there are cells at most, hence safe to broadcast.
+    probed = F.broadcast(wanted.select(F.col("bucket").alias("cell")).distinct())
+    rows = indexed.join(probed, "cell", "left_semi").select(
+        F.col("id").cast("bigint").alias("id"), "vector", F.col("cell").cast("bigint").alias("bucket")
     )
+    return _meeting(_packed(rows, block_rows), _packed(wanted, query_rows), k, None)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

@@ -143,50 +143,60 @@ def safety_verdict(label: Column) -> Column:
     )
 
 
+# Where a text breaks into lines.
+LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def judge_reply(reply: Column) -> Column:
-    """SCORE and REASON lines of a judge's reply; no or unreadable score gives 0."""
-    text = blank_trim(F.coalesce(reply, F.lit("")))
-    score = F.regexp_extract(text, r"(?m)^\s*SCORE\s*:\s*(.*?)\s*$", 1)
-    reason = F.regexp_extract(text, r"(?m)^\s*REASON\s*:\s*(.*?)\s*$", 1)
-    return F.struct(
-        F.coalesce(score.try_cast("double"), F.lit(0.0)).alias("score"), reason.alias("reason")
-    )
+    """SCORE and REASON lines of a judge's reply, the last of each; no or unreadable score gives 0."""
+    lines = F.filter(F.split(blank_trim(F.coalesce(reply, F.lit(""))), LINE_BREAK), lambda x: F.contains(x, F.lit(":")))
+
+    def last(key: str) -> Column:
+        named = F.filter(lines, lambda x: blank_trim(F.substring_index(x, ":", 1)) == key)
+        return bind(F.get(F.reverse(named), F.lit(0)), lambda x: blank_trim(F.substr(x, F.instr(x, ":") + 1)))
 
+    def check(score: Column) -> Column:
+        return F.coalesce(F.when(score.rlike(NUMBER), score.try_cast("double")), F.lit(0.0))
 
-ANSWER_LAYOUT = "summary STRING, data_source STRING, confidence STRING, chart_spec STRING"
+    return F.struct(bind(last("SCORE"), check).alias("score"), F.coalesce(last("REASON"), F.lit("")).alias("reason"))
 
 
 def structured_answer(raw: Column) -> Column:
     """Validate a JSON answer: summary, data_source and a known confidence level are required.
 
-    An invalid answer keeps its raw text as the answer.
+    The whole text must be one JSON object; the three fields must be texts and
+    chart_spec absent, null or an object. An invalid answer keeps its raw text as
+    the answer.
     """
-    parsed = F.from_json(raw, ANSWER_LAYOUT, {"mode": "PERMISSIVE"})
+    # One more element behind the text: anything but a single value in front of it shows.
+    single = F.json_array_length(F.concat(F.lit("["), raw, F.lit(",0]"))) == 2
 
     def check(p: Column) -> Column:
-        is_text = [
-            F.coalesce(F.regexp_like(raw, F.lit(f'(?s)"{name}"\\s*:\\s*"')), F.lit(False))
-            for name in ("summary", "data_source", "confidence")
-        ]
-        chart = p["chart_spec"]
+        def kind(name: str) -> Column:
+            return F.schema_of_variant(F.try_variant_get(p, f"$.{name}", "variant"))
+
+        def value(name: str) -> Column:
+            return F.try_variant_get(p, f"$.{name}", "string")
+
         valid = (
-            p["summary"].isNotNull()
-            & p["data_source"].isNotNull()
-            & p["confidence"].isin("high", "medium", "low")
-            & (chart.isNull() | F.startswith(F.ltrim(chart), F.lit("{")))
+            single
+            & (kind("summary") == "STRING")
+            & (kind("data_source") == "STRING")
+            & (kind("confidence") == "STRING")
+            & value("confidence").isin("high", "medium", "low")
+            & (F.coalesce(kind("chart_spec"), F.lit("VOID")).rlike("^(VOID$|OBJECT<)"))
         )
-        for condition in is_text:
-            valid = valid & condition
         valid = F.coalesce(valid, F.lit(False))
         return F.struct(
             valid.alias("valid"),
-            F.when(valid, p["summary"]).otherwise(raw).alias("answer"),
-            F.when(valid, p["data_source"]).otherwise("").alias("data_source"),
-            F.when(valid, p["confidence"]).otherwise("").alias("confidence"),
-            F.when(valid, chart).alias("chart_spec"),
+            F.when(valid, value("summary")).otherwise(raw).alias("answer"),
+            F.when(valid, value("data_source")).otherwise("").alias("data_source"),
+            F.when(valid, value("confidence")).otherwise("").alias("confidence"),
+            F.when(valid, value("chart_spec")).alias("chart_spec"),
         )
 
-    return bind(parsed, check)
+    return bind(F.try_parse_json(raw), check)
 
 
 def last_user_turn(turns: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from merchlake.functions.joins import checked_broadcast
@@ -160,18 +162,28 @@ def last_user_turns(spark, sf):
     return text.last_user_turn(testdata.table(spark, sf, "conversations"))
 
 
-CTES["replies"] = """
-    SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '  allowed' WHEN 1 THEN 'Blocked: off topic: ' || lang
-                                   WHEN 2 THEN 'BLOCKED' ELSE 'Maybe ' || lang END AS gate,
-           CASE WHEN doc_id % 3 = 0 THEN 'UNSAFE S' || (doc_id % 7) ELSE 'SAFE' END AS label,
-           CASE doc_id % 3 WHEN 0 THEN 'SCORE: 0.5' || chr(10) || 'REASON: short: ' || lang
-                           WHEN 1 THEN 'SCORE: high' ELSE 'nothing' END AS judge,
-           CASE doc_id % 5 WHEN 0 THEN '{"summary":"' || lang || '","data_source":"none","confidence":"high"}'
-                           WHEN 1 THEN '{"summary":"x","data_source":"' || source || '","confidence":"low","chart_spec":{"mark":"bar"}}'
-                           WHEN 2 THEN '{"summary":"x","data_source":"y","confidence":"very high"}'
-                           WHEN 3 THEN '{"data_source":"y","confidence":"low"}'
-                           ELSE 'The answer is ' || lang END AS answer
-    FROM documents"""
+# Replies made of the given texts, whole, in well-formed and in broken shapes.
+CTES["replies"] = r"""
+    SELECT doc_id, text, CASE doc_id % 4 WHEN 0 THEN '  allowed' WHEN 1 THEN 'Blocked: off topic: ' || text
+                                   WHEN 2 THEN 'BLOCKED' ELSE 'Maybe ' || text END AS gate,
+           CASE WHEN doc_id % 3 = 0 THEN 'UNSAFE S' || (doc_id % 7) ELSE text END AS label,
+           CASE doc_id % 4 WHEN 0 THEN 'SCORE: 0.5' || chr(10) || 'REASON: short: ' || text
+                           WHEN 1 THEN text || chr(10) || 'SCORE: high' || chr(10) || ' REASON : ' || lang
+                           WHEN 2 THEN 'SCORE: 1.0' || chr(10) || 'REASON: first' || chr(10) || 'SCORE:' || chr(10) || '0.9'
+                                       || chr(10) || 'REASON: last: ' || source
+                           ELSE 'REASON: one' || chr(10) || 'SCORE: 0.25' || chr(10) || 'REASON:' || chr(10) || text END AS judge,
+           CASE doc_id % 8
+             WHEN 0 THEN '{"summary":"' || quoted || '","data_source":"none","confidence":"high"}'
+             WHEN 1 THEN '{"summary":"x","data_source":"' || source || '","confidence":"low","chart_spec":{"mark":"bar"}}'
+             WHEN 2 THEN '{"summary":"' || quoted || '","data_source":"none","confidence":"high"} and more'
+             WHEN 3 THEN '{"summary":5,"nested":{"summary":"' || quoted || '"},"data_source":"y","confidence":"low"}'
+             WHEN 4 THEN '{"summary":"x","data_source":"y","confidence":"low","chart_spec":"{oops"}'
+             WHEN 5 THEN text
+             WHEN 6 THEN '{"summary":"x","data_source":"y","confidence":"very high"}'
+             ELSE '{"nested":{"summary":"' || quoted || '"},"data_source":"y","confidence":"low"}' END AS answer
+    FROM (SELECT *, replace(replace(replace(text, '\', '\\'), '"', '\"'), chr(10), '\n') AS quoted FROM documents)"""
+CTES["judge_lines"] = r"""
+    SELECT doc_id, list_filter(regexp_split_to_array(judge, '\n'), lambda l: contains(l, ':')) AS lines FROM replies"""
 
 
 def _replies(spark, sf):
@@ -182,31 +194,41 @@ def _replies(spark, sf):
             chain = F.when(hit, v) if chain is None else chain.when(hit, v)
         return chain.otherwise(values[-1])
 
-    lang, source = F.col("lang"), F.col("source")
-    return _docs(spark, sf).select(
+    def joined(*parts):
+        return F.concat(*[F.col(p[1:]) if p.startswith("$") else F.lit(p) for p in parts])
+
+    quoted = F.col("text")
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n")):
+        quoted = F.replace(quoted, F.lit(plain), F.lit(escaped))
+    return _docs(spark, sf).withColumn("quoted", quoted).select(
         "doc_id",
-        pick(4, [F.lit("  allowed"), F.concat(F.lit("Blocked: off topic: "), lang), F.lit("BLOCKED"),
-                 F.concat(F.lit("Maybe "), lang)]).alias("gate"),
+        pick(4, [F.lit("  allowed"), joined("Blocked: off topic: ", "$text"), F.lit("BLOCKED"), joined("Maybe ", "$text")]).alias("gate"),
         F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("UNSAFE S"), (F.col("doc_id") % 7).cast("string")))
-        .otherwise("SAFE").alias("label"),
-        pick(3, [F.concat(F.lit("SCORE: 0.5\nREASON: short: "), lang), F.lit("SCORE: high"), F.lit("nothing")])
-        .alias("judge"),
-        pick(5, [
-            F.concat(F.lit('{"summary":"'), lang, F.lit('","data_source":"none","confidence":"high"}')),
-            F.concat(F.lit('{"summary":"x","data_source":"'), source,
-                     F.lit('","confidence":"low","chart_spec":{"mark":"bar"}}')),
+        .otherwise(F.col("text")).alias("label"),
+        pick(4, [
+            joined("SCORE: 0.5\nREASON: short: ", "$text"),
+            joined("$text", "\nSCORE: high\n REASON : ", "$lang"),
+            joined("SCORE: 1.0\nREASON: first\nSCORE:\n0.9\nREASON: last: ", "$source"),
+            joined("REASON: one\nSCORE: 0.25\nREASON:\n", "$text"),
+        ]).alias("judge"),
+        pick(8, [
+            joined('{"summary":"', "$quoted", '","data_source":"none","confidence":"high"}'),
+            joined('{"summary":"x","data_source":"', "$source", '","confidence":"low","chart_spec":{"mark":"bar"}}'),
+            joined('{"summary":"', "$quoted", '","data_source":"none","confidence":"high"} and more'),
+            joined('{"summary":5,"nested":{"summary":"', "$quoted", '"},"data_source":"y","confidence":"low"}'),
+            F.lit('{"summary":"x","data_source":"y","confidence":"low","chart_spec":"{oops"}'),
+            F.col("text"),
             F.lit('{"summary":"x","data_source":"y","confidence":"very high"}'),
-            F.lit('{"data_source":"y","confidence":"low"}'),
-            F.concat(F.lit("The answer is "), lang),
+            joined('{"nested":{"summary":"', "$quoted", '"},"data_source":"y","confidence":"low"}'),
         ]).alias("answer"),
     )
 
 
 @query(
     "gate_verdicts",
-    """SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'ALLOWED' ELSE 'BLOCKED' END AS verdict,
-              CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN trim(substr(gate, 9)) WHEN 2 THEN 'blocked by safety filter'
-                   ELSE 'internal safety filter error' END AS reason FROM replies""",
+    r"""SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 'ALLOWED' ELSE 'BLOCKED' END AS verdict,
+              CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN regexp_replace(substr(gate, 9), '^\s+|\s+$', '', 'g')
+                   WHEN 2 THEN 'blocked by safety filter' ELSE 'internal safety filter error' END AS reason FROM replies""",
 )
 def gate_verdicts(spark, sf):
     return _replies(spark, sf).select("doc_id", F.inline(F.array(text.gate_verdict(F.col("gate")))))
@@ -214,8 +236,9 @@ def gate_verdicts(spark, sf):
 
 @query(
     "safety_verdicts",
-    """SELECT doc_id, NOT contains(label, 'UNSAFE') AS passed,
-              CASE WHEN contains(label, 'UNSAFE') THEN 'Input blocked: ' || trim(replace(label, 'UNSAFE', '')) ELSE '' END
+    r"""SELECT doc_id, NOT contains(upper(label), 'UNSAFE') AS passed,
+              CASE WHEN contains(upper(label), 'UNSAFE')
+                   THEN 'Input blocked: ' || regexp_replace(replace(label, 'UNSAFE', ''), '^\s+|\s+$', '', 'g') ELSE '' END
               AS reason FROM replies""",
 )
 def safety_verdicts(spark, sf):
@@ -224,8 +247,12 @@ def safety_verdicts(spark, sf):
 
 @query(
     "judge_scores",
-    """SELECT doc_id, COALESCE(TRY_CAST(trim(regexp_extract(judge, 'SCORE:([^\n]*)', 1)) AS DOUBLE), 0.0) AS score,
-              trim(regexp_extract(judge, 'REASON:([^\n]*)', 1)) AS reason FROM replies""",
+    r"""SELECT doc_id,
+              COALESCE(TRY_CAST(regexp_replace(regexp_replace(list_last(list_filter(lines,
+                  lambda l: trim(split_part(l, ':', 1)) = 'SCORE')), '^[^:]*:', ''), '^\s+|\s+$', '', 'g') AS DOUBLE), 0.0) AS score,
+              COALESCE(regexp_replace(regexp_replace(list_last(list_filter(lines,
+                  lambda l: trim(split_part(l, ':', 1)) = 'REASON')), '^[^:]*:', ''), '^\s+|\s+$', '', 'g'), '') AS reason
+       FROM judge_lines""",
 )
 def judge_scores(spark, sf):
     return _replies(spark, sf).select("doc_id", F.inline(F.array(text.judge_reply(F.col("judge")))))
@@ -233,12 +260,15 @@ def judge_scores(spark, sf):
 
 @query(
     "structured_answers",
-    """SELECT doc_id, doc_id % 5 < 2 AS valid,
-              CASE WHEN doc_id % 5 < 2 THEN json_extract_string(answer, '$.summary') ELSE answer END AS answer,
-              CASE WHEN doc_id % 5 < 2 THEN json_extract_string(answer, '$.data_source') ELSE '' END AS data_source,
-              CASE WHEN doc_id % 5 < 2 THEN json_extract_string(answer, '$.confidence') ELSE '' END AS confidence,
-              CASE WHEN doc_id % 5 = 1 THEN '{"mark":"bar"}' END AS chart_spec
-       FROM (SELECT doc_id, CASE WHEN doc_id % 5 < 4 THEN answer END AS parsed_text, answer FROM replies)""",
+    """SELECT doc_id, valid, CASE WHEN valid THEN json_extract_string(answer, '$.summary') ELSE answer END AS answer,
+              CASE WHEN valid THEN json_extract_string(answer, '$.data_source') ELSE '' END AS data_source,
+              CASE WHEN valid THEN json_extract_string(answer, '$.confidence') ELSE '' END AS confidence,
+              CASE WHEN valid THEN json_extract_string(answer, '$.chart_spec') END AS chart_spec
+       FROM (SELECT doc_id, answer, CASE WHEN json_valid(answer) THEN COALESCE(
+                 json_type(answer, '$.summary') = 'VARCHAR' AND json_type(answer, '$.data_source') = 'VARCHAR'
+                 AND json_extract_string(answer, '$.confidence') IN ('high', 'medium', 'low')
+                 AND COALESCE(json_type(answer, '$.chart_spec'), 'NULL') IN ('NULL', 'OBJECT'), FALSE) ELSE FALSE END AS valid
+             FROM replies)""",
 )
 def structured_answers(spark, sf):
     return _replies(spark, sf).select("doc_id", F.inline(F.array(text.structured_answer(F.col("answer")))))
@@ -297,11 +327,11 @@ def evaluation_by_category(spark, sf):
 
 @query(
     "failed_answers",
-    """SELECT conv_id, turn, substr(answer, 1, 200) AS answer_head FROM keyword_results WHERE keyword_pass = 0""",
+    """SELECT conv_id, turn, answer, substr(answer, 1, 200) AS answer_head FROM keyword_results WHERE keyword_pass = 0""",
 )
 def failed_answers(spark, sf):
     failed = evaluation.failed_rows(_scored(spark, sf).withColumnRenamed("answer", "agent_answer"))
-    return failed.select("conv_id", "turn", "answer_head")
+    return failed.select("conv_id", "turn", F.col("agent_answer").alias("answer"), "answer_head")
 
 
 _SCENARIO_SQL = """
@@ -391,10 +421,9 @@ def _corpus(spark, sf):
 
 def _topics(spark, sf):
     """One query vector per topic: the mean of the topic's vectors."""
-    cells = _corpus(spark, sf).select("label", F.posexplode("vector").alias("pos", "x"))
-    means = cells.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    rows = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("_v"))
-    return rows.select(F.col("label").alias("query_id"), F.transform("_v", lambda c: c["m"]).alias("vector"))
+    vectors = _corpus(spark, sf).select("label", array_to_vector(F.col("vector").cast("array<double>")).alias("_v"))
+    means = vectors.groupBy("label").agg(Summarizer.mean(F.col("_v")).alias("_m"))
+    return means.select(F.col("label").alias("query_id"), vector_to_array("_m").alias("vector"))
 
 
 @query("topic_nearest", "SELECT query_id, id, score, rank FROM topic_hits WHERE rank <= 5")

@@ -8,7 +8,6 @@ from merchlake.functions.ordering import percentiles
 from merchlake.functions.scalars import money
 from merchlake.operators import monitor
 from merchlake.plans.registry import CTES, day, moment, query, rounded
-from merchlake.session import spread
 from merchlake.sources import testdata
 
 CTES["log_clock"] = "SELECT max(ts) AS now FROM events"
@@ -55,7 +54,8 @@ def latency_trend_sketched(spark, sf):
 
 @query(
     "version_comparison",
-    f"""SELECT model_version, count(*) AS total_calls, {rounded("avg(latency_ms)")} AS avg_latency_ms,
+    f"""SELECT model_version, count(*) AS total_calls, {moment('min("timestamp")')} AS first_seen,
+               {rounded("avg(latency_ms)")} AS avg_latency_ms,
                {rounded("quantile_cont(latency_ms, 0.95)")} AS p95_latency_ms, count(error) AS errors, {_ERROR_RATE}
         FROM model_log WHERE "timestamp" >= {_back("24 HOUR")} GROUP BY 1""",
 )
@@ -159,8 +159,8 @@ def feature_mean_shift(spark, sf):
     f"""SELECT model_version, mean AS avg_latency_ms, prev AS previous_avg_ms,
                {rounded("(mean - prev) * 100 / prev", 1)} AS change_pct,
                COALESCE((mean - prev) * 100 / prev > 20, FALSE) AS slower
-        FROM (SELECT *, lag(mean) OVER (ORDER BY model_version) AS prev FROM (
-              SELECT model_version, {rounded("avg(latency_ms)")} AS mean FROM log_day GROUP BY 1))""",
+        FROM (SELECT *, lag(mean) OVER (ORDER BY seen, model_version) AS prev FROM (
+              SELECT model_version, min("timestamp") AS seen, {rounded("avg(latency_ms)")} AS mean FROM log_day GROUP BY 1))""",
 )
 def slower_versions(spark, sf):
     log, now = _log(spark, sf)
@@ -186,7 +186,7 @@ def error_rate_per_quarter_hour(spark, sf):
 )
 def price_percentiles_per_line_status(spark, sf):
     found = percentiles(
-        spread(testdata.table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber"), ["l_returnflag"], "l_extendedprice",
+        testdata.table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice",
         {"median": 0.5, "p95": 0.95, "p99": 0.99},
     )
     return found.select("l_returnflag", *[money(c).alias(c) for c in ("median", "p95", "p99")])

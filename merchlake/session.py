@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 MB = 1024 * 1024
 
@@ -51,8 +52,8 @@ def tune(spark: SparkSession, broadcast_mb: int | None = None) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    Only where the cluster names none (local tests) a temporary folder is made
-    and set as the checkpoint folder.
+    A temporary folder is made and set as the checkpoint folder only where
+    driver and executors are one process; a cluster has to name a shared one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -62,6 +63,8 @@ def scratch_root(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="merchlake-"))
     return spark.sparkContext.getCheckpointDir()
 
@@ -70,12 +73,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a scan out over all cores when it yields fewer tasks than that.
-
-    A table in one small file is one task however many cores there are. Scans
-    with enough splits, as any big table has, come back unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

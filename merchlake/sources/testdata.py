@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from merchlake.session import spread
 
 
 _SCHEMAS: dict[str, StructType] = {}
@@ -39,11 +38,11 @@ def _line_id(*columns: str) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def _joined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 

@@ -146,7 +146,14 @@ def windowed_errors(messages: DataFrame, delay: str = "10 minutes", width: str =
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the query discarded because they were older than its watermark."""
+    """Rows the query discarded because they were older than its watermark.
+
+    Spark keeps the latest progress reports only (`spark.sql.streaming.numRecentProgressUpdates`).
+    A run that has had more is refused, as its count would not be whole.
+    """
+    reports = query.recentProgress
+    if len(reports) >= int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates", "100")):
+        raise RuntimeError("the query has had more progress reports than Spark keeps; raise numRecentProgressUpdates")
     return sum(
-        int(state["numRowsDroppedByWatermark"]) for progress in query.recentProgress for state in progress["stateOperators"]
+        int(state["numRowsDroppedByWatermark"]) for progress in reports for state in progress["stateOperators"]
     )

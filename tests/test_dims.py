@@ -136,3 +136,11 @@ def test_feed_options():
     options = files.feed_options("host:9093", "orders", "g", {"kafka.security.protocol": "SASL_SSL"})
     assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
     assert options["subscribe"] == "orders"
+
+
+def test_hash_tells_bars_and_nulls_apart(spark):
+    from merchlake.functions.scalars import fingerprint
+
+    rows = [("a|b", "c"), ("a", "b|c"), ("a", None), (None, "a"), ("", "a"), ("1:a", ""), ("", "1:a"), (None, None), ("", "")]
+    df = spark.createDataFrame(rows, "x STRING, y STRING")
+    assert df.select(fingerprint(["x", "y"]).alias("h")).distinct().count() == len(rows)

@@ -78,6 +78,9 @@ def test_risk_segments_and_features(spark, shop):
     got = {r["product_id"]: r for r in gold.product_features(orders, products, AS_OF, pieces=2).collect()}
     assert (got["p1"]["category_rank"], got["p2"]["category_rank"], got["p3"]["category_rank"]) == (1, 2, 1)
     assert got["p3"]["gmv_30d"] == 0.0 and got["p3"]["trend_score"] is None
+    unsorted = spark.createDataFrame([("p1", None), ("p2", None), ("n1", None), ("n2", None)], "product_id STRING, category STRING")
+    ranks = {r["product_id"]: r["category_rank"] for r in gold.product_features(orders, unsorted, AS_OF, pieces=2).collect()}
+    assert ranks == {"p1": 1, "p2": 2, "n1": 3, "n2": 3}
 
 
 @pytest.mark.parametrize(

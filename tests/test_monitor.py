@@ -81,5 +81,6 @@ def test_limits_shift_and_slower(spark):
     assert over == {"p95_latency_ms": False, "p99_latency_ms": False, "error_rate_pct": True}
     shift = monitor.feature_shift(log, ["amount"], NOW).first()
     assert (shift["baseline_avg"], shift["current_avg"], shift["alert"]) == (16.0, 6.5, True)
-    versions = spark.createDataFrame([("v1", 100.0), ("v2", 121.0), ("v3", 130.0)], "model_version STRING, avg_latency_ms DOUBLE")
-    assert [r["slower"] for r in monitor.slower_versions(versions).orderBy("model_version").collect()] == [False, True, False]
+    versions = spark.createDataFrame(
+        [("v8", 1, 100.0), ("v9", 2, 121.0), ("v10", 3, 130.0)], "model_version STRING, first_seen INT, avg_latency_ms DOUBLE")
+    assert [r["slower"] for r in monitor.slower_versions(versions).orderBy("avg_latency_ms").collect()] == [False, True, False]

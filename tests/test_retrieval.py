@@ -37,7 +37,7 @@ def test_matrix_and_block_routes_equal_brute_force(spark):
     corpus, queries = vectors(120) + [[0.0] * 8], vectors(30, seed=2)
     c, q = frame(spark, corpus, "id").repartition(5), frame(spark, queries, "query_id")
     close(retrieval.nearest(c, q, 4).collect(), brute(corpus, queries, 4))
-    close(retrieval.nearest(c, q, 4, max_queries=7, block_rows=25).collect(), brute(corpus, queries, 4))
+    close(retrieval.nearest(c, q, 4, query_rows=7, block_rows=25).collect(), brute(corpus, queries, 4))
     close(retrieval.nearest(c, q, 9, min_score=0.4).collect(), brute(corpus, queries, 9, 0.4))
 
 

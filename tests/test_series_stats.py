@@ -42,7 +42,7 @@ def test_time_split(spark):
 
 def test_horizon_falls_back_on_short_history(spark):
     got = features.horizon_features(daily(spark, [10, 20, 30]), date(2024, 1, 3), 200).orderBy("forecast_date").collect()
-    assert len(got) == 90 and got[0]["forecast_date"] == date(2024, 1, 4)
+    assert len(got) == 200 and got[0]["forecast_date"] == date(2024, 1, 4)
     first = got[0]
     assert (first["lag_1"], first["lag_2"], first["lag_3"], first["lag_7"]) == (30.0, 20.0, 10.0, 10.0)
     assert first["rolling_mean_7"] == 20.0

@@ -99,6 +99,8 @@ def test_safety_and_judge(spark):
     ]
     got = apply(spark, text.judge_reply, "SCORE: 0.5\nREASON: fine: mostly", "REASON: none", "SCORE: ten", None)
     assert [tuple(r) for r in got] == [(0.5, "fine: mostly"), (0.0, "none"), (0.0, ""), (0.0, "")]
+    hard = ["SCORE: 1.0\nREASON: a\nSCORE: 0.5\n REASON : b: c", "SCORE:\n0.9\nREASON:\nfoo", "SCORE: 1.0d", "x\r\nSCORE: 1\u2028REASON: y"]
+    assert [tuple(r) for r in apply(spark, text.judge_reply, *hard)] == [(0.5, "b: c"), (0.0, ""), (0.0, ""), (1.0, "y")]
 
 
 def test_structured_answers(spark):
@@ -111,6 +113,13 @@ def test_structured_answers(spark):
         "{}",
         '{"summary": 5, "data_source": "d", "confidence": "high"}',
         '{"summary": "s", "data_source": "d", "confidence": "high", "chart_spec": "bar"}',
+        '{"summary": "s", "data_source": "d", "confidence": "high", "chart_spec": "{oops"}',
+        '{"summary": "s", "data_source": "d", "confidence": "high"} and more',
+        '{"summary": "s", "data_source": "d", "confidence": "high"}, {}',
+        '{"summary": 5, "x": {"summary": "s"}, "data_source": "d", "confidence": "high"}',
+        '{"x": {"summary": "s"}, "data_source": "d", "confidence": "high"}',
+        '[{"summary": "s", "data_source": "d", "confidence": "high"}]',
+        "",
     ]
     got = apply(spark, text.structured_answer, good, chart, *bad)
     assert tuple(got[0]) == (True, "s", "d", "high", None)
