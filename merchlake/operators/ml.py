@@ -14,6 +14,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from merchlake.functions.ordering import row_numbers
 from merchlake.functions.scalars import money
 from merchlake.operators.features import FEATURES, horizon_features
 
@@ -37,13 +38,27 @@ def class_weight(labelled: DataFrame, label: str = "is_churned") -> DataFrame:
 def hash_split(df: DataFrame, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Mark a fixed share of keys as test rows.
 
-    The hash of the key decides, independent of class and partitioning, so
-    every class keeps the share and a re-run marks the same rows.
+    The hash of the key decides, independent of class and partitioning, so a
+    re-run marks the same rows. The share is met on average only; see
+    stratified_split for an exact one in every class.
     """
     slot = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(10_000))
     return df.withColumn("is_test", slot < int(test_share * 10_000))
 
 
+def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
+    """Mark the share of each class, to the nearest row, as test rows.
+
+    Inside a class the rows with the least hash of the (unique) key are taken. The
+    ranks are computed range by range, so a class may be of any size. With one
+    class only this is a plain split.
+    """
+    order = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    ranked = row_numbers(df.withColumn("_order", order), [label], ["_order", key], name="_rn", total="_n")
+    wanted = F.floor(F.col("_n") * F.lit(test_share) + F.lit(0.5))
+    return ranked.withColumn("is_test", F.col("_rn") <= wanted).drop("_order", "_rn", "_n")
+
+
 def train_churn(
     metrics: DataFrame,
     features: Sequence[str] = CHURN_FEATURES,

@@ -173,6 +173,25 @@ def contract_problems(df: DataFrame, contract: StructType) -> list[str]:
     return problems
 
 
+def contract_report(df: DataFrame, contract: StructType, null_shares: dict[str, float]) -> DataFrame:
+    """One row per column of the contract: is it there with its type, its share of NULLs, and is that share allowed.
+
+    `null_shares` gives the highest share of NULLs for a column (0 where it is
+    not named). The table is read once. An empty table has no share and passes.
+    """
+    problems = {p.partition(":")[0] for p in contract_problems(df, contract)}
+    there = [f.name for f in contract if f.name in df.columns]
+    counts = df.agg(F.count(F.lit(1)).alias("_all"), *[F.count(F.col(c)).alias(f"_n{i}") for i, c in enumerate(there)])
+    rows = []
+    for field in contract:
+        held = F.col(f"_n{there.index(field.name)}") if field.name in there else F.lit(None).cast("bigint")
+        share = F.round((F.col("_all") - held) / F.nullif(F.col("_all"), F.lit(0)), 6)
+        fits = F.lit(field.name not in problems)
+        allowed = F.coalesce(share <= F.lit(float(null_shares.get(field.name, 0.0))), F.lit(True))
+        rows.append(F.struct(F.lit(field.name).alias("column"), fits.alias("type_ok"), share.alias("null_share"), (fits & allowed).alias("ok")))
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def require_contract(df: DataFrame, contract: StructType) -> DataFrame:
     problems = contract_problems(df, contract)
     if problems:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchlake.functions.scalars import money
-from merchlake.operators import features, ml, stats
+from merchlake.operators import features, ml, quality, stats
 from merchlake.plans.commerce import _START, Lake, _today
 from merchlake.plans.registry import CTES, day, query, rounded
 from merchlake.sources import testdata
@@ -169,12 +170,13 @@ def churn_class_weight(spark, sf):
 
 @query(
     "churn_score_quality",
-    """SELECT round((SELECT sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0 END)
-                     / count(*) FROM churn_rows p, churn_rows n WHERE p.is_churned = 1 AND n.is_churned = 0), 4) AS auc,
+    """SELECT round((sum(CASE WHEN is_churned = 1 THEN place END) - sum(is_churned) * (sum(is_churned) + 1) / 2.0)
+                    / (sum(is_churned) * (count(*) - sum(is_churned))), 4) AS auc,
               round(COALESCE(sum(CASE WHEN score > 0.03 AND is_churned = 1 THEN 1.0 END)
                     / nullif(count(CASE WHEN score > 0.03 THEN 1 END), 0), 0), 4) AS precision,
               round(COALESCE(sum(CASE WHEN score > 0.03 AND is_churned = 1 THEN 1.0 END)
-                    / nullif(sum(is_churned), 0), 0), 4) AS recall FROM churn_rows""",
+                    / nullif(sum(is_churned), 0), 0), 4) AS recall
+       FROM (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS place FROM churn_rows)""",
 )
 def churn_score_quality(spark, sf):
     rows = _labelled(Lake(spark, sf)).withColumn("score", F.round(1.0 / (1 + F.col("total_orders")), 6))
@@ -187,6 +189,33 @@ def churn_hash_split(spark, sf):
     return marked.groupBy("is_churned", "is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "churn_stratified_split",
+    """SELECT customer_id, is_churned, row_number() OVER (PARTITION BY is_churned ORDER BY md5(customer_id || ':42'), customer_id)
+              <= floor(count(*) OVER (PARTITION BY is_churned) * 0.2 + 0.5) AS is_test FROM churn_rows""",
+)
+def churn_stratified_split(spark, sf):
+    marked = ml.stratified_split(_labelled(Lake(spark, sf)), "customer_id", "is_churned")
+    return marked.select("customer_id", "is_churned", "is_test")
+
+
+_CONTRACT = T.StructType().add("customer_id", "string").add("total_spend", "double").add("days_since_last_order", "integer").add("age", "integer")
+
+
+@query(
+    "feature_contract",
+    """SELECT c.name AS "column", c.name <> 'age' AS type_ok, c.share AS null_share, c.name <> 'age' AND c.share <= c.most AS ok
+       FROM (SELECT unnest([
+               {'name': 'customer_id', 'share': round((count(*) - count(customer_id)) / count(*), 6), 'most': 0.0},
+               {'name': 'total_spend', 'share': round((count(*) - count(total_spend)) / count(*), 6), 'most': 0.0},
+               {'name': 'days_since_last_order', 'share': round((count(*) - count(days_since_last_order)) / count(*), 6), 'most': 0.01},
+               {'name': 'age', 'share': NULL, 'most': 0.0}]) AS c FROM customer_facts)""",
+)
+def feature_contract(spark, sf):
+    """Columns, types and shares of NULL against a contract that one column and one share break."""
+    return quality.contract_report(Lake(spark, sf).customer_metrics, _CONTRACT, {"days_since_last_order": 0.01})
+
+
 @query("churn_model_quality")
 def churn_model_quality(spark, sf):
     """Boosted trees trained on four fifths of the customers, judged on the rest.
@@ -194,7 +223,7 @@ def churn_model_quality(spark, sf):
     The feature that makes the label is left out, so the figures are honest.
     """
     columns = [c for c in ml.CHURN_FEATURES if c != "days_since_last_order"]
-    rows = ml.hash_split(_labelled(Lake(spark, sf)), "customer_id").persist()
+    rows = ml.stratified_split(_labelled(Lake(spark, sf)), "customer_id", "is_churned").persist()
     model = ml.train_churn(rows.where("NOT is_test"), columns, trees=10)
     scored = ml.score_churn(model, rows.where("is_test"), columns)
     return stats.classifier_quality(scored, "is_churned", "churn_probability")
