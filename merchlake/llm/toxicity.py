@@ -40,7 +40,8 @@ LOOKALIKES = {
 FOLD = {ord(k): v for k, v in LOOKALIKES.items()} | {0xFF41 + i: chr(97 + i) for i in range(26)}
 # Digits and signs written for letters.
 STANDINS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-_STANDIN = re.compile(r"(?<![^\W\d_])[013457@$](?=[^\W\d_]{2})|(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])")
+_STANDIN = re.compile(r"(?<![^\W\d_])[013457@$](?=[^\W\d_])|(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])")
+_RUN = re.compile(r"(?:[^\W\d_]|[013457@$!])*(?:[^\W\d_]|[013457@$])")
 _OTHER = re.compile(r"[\W_]+")
 
 # Insults that count even where no label speaks of them, and phrases in which they are harmless.
@@ -54,11 +55,18 @@ SEED_WEIGHT = 3.0
 BEGINNINGS = (4, 5, 6, 7, 8)
 
 
+def _as_letters(run: re.Match) -> str:
+    """Stand-ins become letters in a run that has two letters and at least as many letters as stand-ins."""
+    text = run.group()
+    letters = sum(c not in STANDINS for c in text)
+    return "".join(STANDINS.get(c, c) for c in text) if letters >= max(2, len(text) - letters) else text
+
+
 def fold(text: str) -> str:
     """The folded text, words parted by one blank, with a blank at either end."""
     low = text.lower().translate(FOLD)
     if _STANDIN.search(low):
-        low = _STANDIN.sub(lambda m: "".join(STANDINS[c] for c in m.group()), low)
+        low = _RUN.sub(_as_letters, low)
     return f" {_OTHER.sub(' ', low).strip()} "
 
 
