@@ -15,9 +15,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlake.session import scratch_root
+from merchlake.functions.joins import estimated_bytes
+from merchlake.session import MB, scratch_root
 
 PIECE = "_piece"
+RANGE_BYTES = 64 * MB
+MOST_RANGES = 64
 
 
 def _ordering(order: Sequence) -> list[Column]:
@@ -28,7 +31,9 @@ def cut_into_ranges(df: DataFrame, group: Sequence[str], order: Sequence, pieces
     """Tag each row with the number of its range; ranges ascend in (group, order)."""
     spark = df.sparkSession
     scratch_root(spark)
-    count = pieces or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The estimate of a joined frame can be far too high, so it may only raise the number so far.
+    count = pieces or min(max(usual, estimated_bytes(df) // RANGE_BYTES + 1), MOST_RANGES * usual)
     ranged = df.repartitionByRange(count, *[F.col(g) for g in group], *_ordering(order))
     return ranged.withColumn(PIECE, F.spark_partition_id()).checkpoint()
 

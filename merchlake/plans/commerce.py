@@ -10,11 +10,20 @@ from pyspark.sql import functions as F
 from merchlake.functions.joins import estimated_bytes, spread_join
 from merchlake.operators import gold, metrics, quality
 from merchlake.plans.registry import CTES, day, moment, query, rounded
+from merchlake.session import scratch_path
 from merchlake.sources import testdata
 
 
+# Facts built by this process: (application, folder, name) -> path.
+_BUILT: dict[tuple[str, str, str], str] = {}
+
+
 class Lake:
-    """The commerce tables of one test-data folder, each built on first use."""
+    """The commerce tables of one test-data folder, each built on first use.
+
+    Accepted orders and returns are written once per session and folder, below the
+    shared scratch folder, and read from there by everything that builds on them.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -25,6 +34,14 @@ class Lake:
             self._made[name] = make()
         return self._made[name]
 
+    def _fact(self, name: str, make) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _BUILT:
+            path = scratch_path(self.spark, name)
+            make().write.parquet(path)
+            _BUILT[key] = path
+        return self.spark.read.parquet(_BUILT[key])
+
     @property
     def as_of(self):
         if not hasattr(self, "_as_of"):
@@ -65,7 +82,7 @@ class Lake:
 
     @property
     def orders(self):
-        return self._once("orders", lambda: quality.accepted_orders(self.checked_orders))
+        return self._once("orders", lambda: self._fact("orders", lambda: quality.accepted_orders(self.checked_orders)))
 
     @property
     def checked_returns(self):
@@ -78,7 +95,7 @@ class Lake:
 
     @property
     def returns(self):
-        return self._once("returns", lambda: quality.accepted_returns(self.checked_returns))
+        return self._once("returns", lambda: self._fact("returns", lambda: quality.accepted_returns(self.checked_returns)))
 
     @property
     def revenue(self):
@@ -224,7 +241,7 @@ def _today() -> str:
                {moment("order_ts")} AS order_ts FROM good_orders""",
 )
 def silver_orders(spark, sf):
-    return Lake(spark, sf).orders.withColumns({c: F.round(F.round(c, 6), 4) for c in ("unit_price", "line_total")})
+    return quality.accepted_orders(Lake(spark, sf).checked_orders).withColumns({c: F.round(F.round(c, 6), 4) for c in ("unit_price", "line_total")})
 
 
 @query(

@@ -41,6 +41,8 @@ def tune(spark: SparkSession, broadcast_mb: int | None = None) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # Rows go to Python in small batches: long texts would otherwise fill both processes of an executor.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     }
     if broadcast_mb is not None:
         settings["spark.sql.autoBroadcastJoinThreshold"] = str(broadcast_mb * MB)
