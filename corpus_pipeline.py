@@ -16,28 +16,33 @@ ORACLE_SQL = None
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what scores below 0.7; learned from the labels that op4 may use."""
+    tune(spark)
     model = toxicity.fit(docs, toxicity.trained_part(read(spark, sf_dir, "labels")))
     return toxicity.without_toxic(docs, model, limit=0.7)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies (five-word runs, similarity 0.8 or more)."""
+    tune(spark)
     return simhash.without_near_copies(docs, words=5, similarity=0.8)
 
 
 def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents without an item of the benchmark."""
+    tune(spark)
     return decontaminate.without_items(docs, read(spark, sf_dir, "benchmark"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps all documents, with surrogates in their texts; n_chars follows the new text."""
+    tune(spark)
     changed = surrogates.replace_personal_data(docs, surrogate_key(spark))
     return changed.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, with the digest of the text they decode to."""
+    tune(spark)
     encoded = bpe.encode_texts(docs, tokenizer_path())
     return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
