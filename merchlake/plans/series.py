@@ -224,7 +224,7 @@ def churn_model_quality(spark, sf):
     """
     columns = [c for c in ml.CHURN_FEATURES if c != "days_since_last_order"]
     rows = ml.stratified_split(_labelled(Lake(spark, sf)), "customer_id", "is_churned").persist()
-    model = ml.train_churn(rows.where("NOT is_test"), columns, trees=10)
+    model = ml.train_churn(rows.where("NOT is_test"), columns)
     scored = ml.score_churn(model, rows.where("is_test"), columns)
     return stats.classifier_quality(scored, "is_churned", "churn_probability")
 
@@ -232,7 +232,7 @@ def churn_model_quality(spark, sf):
 @query("forecast_model_quality")
 def forecast_model_quality(spark, sf):
     rows = features.time_split(features.forecast_features(_series(spark, sf))).persist()
-    model = ml.train_forecast(rows.where("NOT is_test"), trees=10)
+    model = ml.train_forecast(rows.where("NOT is_test"))
     scored = ml.score_forecast(model, rows.where("is_test"))
     return stats.regression_quality(scored, "net_revenue", "predicted_revenue")
 
@@ -241,7 +241,7 @@ def forecast_model_quality(spark, sf):
 def forecast_next_days(spark, sf):
     lake = Lake(spark, sf)
     daily = _series(spark, sf).persist()
-    model = ml.train_forecast(features.forecast_features(daily), trees=10)
+    model = ml.train_forecast(features.forecast_features(daily))
     return ml.forecast(model, daily, lake.as_of.date(), 7)
 
 

@@ -47,6 +47,8 @@ def test_horizon_falls_back_on_short_history(spark):
     assert (first["lag_1"], first["lag_2"], first["lag_3"], first["lag_7"]) == (30.0, 20.0, 10.0, 10.0)
     assert first["rolling_mean_7"] == 20.0
     assert features.horizon_features(daily(spark, []), date(2024, 1, 3)).count() == 0
+    with pytest.raises(ValueError):
+        features.horizon_features(daily(spark, [1]), date(2024, 1, 3), 0)
 
 
 def test_anomalies_filter_after_the_window(spark):
