@@ -29,10 +29,14 @@ from merchlake.llm.graph import components
 
 BITS = 64
 TREE_SIZE = 1024
+# Bytes of shingle sets that a tree holds at most (a longer set has a tree to itself, or nearly so).
+TREE_BYTES = 8 * 1024 * 1024
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 # Sketch of a shingle set: least values under SKETCH different orders, and how many of them make a shard key.
 SKETCH, BANDS, BAND_ROWS = 128, 10, 2
+# How far the share of equal places may lie below the similarity for a pair to be compared.
+LOOSE = 0.2
 _rng = np.random.default_rng(20240229)
 _ORDERS = _rng.integers(0, 2**63, size=SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -144,25 +148,48 @@ def _joined_labels(size: int, u: np.ndarray, v: np.ndarray, label: np.ndarray |
     return label
 
 
-def _search(radius: int, agreement: float | None):
-    """Searches one part of a shard in one tree of it and links what is near: (u, v) pairs of node ids."""
+def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two sorted sets, of which one at least is not empty."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return shared / (len(a) + len(b) - shared)
+
+
+def _checked_labels(label: np.ndarray, u: np.ndarray, v: np.ndarray, sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Labels joined by the pairs (u, v) whose sets are that similar; pairs that are joined already are not compared."""
+    while len(u):
+        apart = label[u] != label[v]
+        u, v = u[apart], v[apart]
+        near = np.array([_jaccard(sets[a], sets[b]) >= similarity for a, b in zip(u[:256], v[:256], strict=True)], bool)
+        label = _joined_labels(len(label), u[:256][near], v[:256][near], label)
+        u, v = u[256:], v[256:]
+    return label
+
+
+def _search(radius: int, agreement: float | None, similarity: float | None = None):
+    """Searches one part of a shard in one tree of it and links what is near: (u, v) pairs of node ids.
+
+    With `similarity`, members bring their shingle sets, and what the sketches let pass is compared by these.
+    """
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
 
-    def table(members: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    def table(members: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, list[np.ndarray]]:
         nodes, prints = (members.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
         order = np.argsort(nodes, kind="stable")
-        marks = None
+        marks, sets = None, []
         if agreement is not None:
             marks = np.frombuffer(b"".join(members.field(2).to_pylist()), np.uint8).reshape(-1, SKETCH)[order]
-        return nodes[order], prints[order].view(np.uint64), marks
+        if similarity is not None:
+            packed = members.field(3)
+            sets = [np.frombuffer(packed[int(i)].as_buffer(), "<u8") for i in order]
+        return nodes[order], prints[order].view(np.uint64), marks, sets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(schema)
         for batch in batches:
             for i in range(batch.num_rows):
                 tree_part, query_part = (batch.column(k)[i].values for k in (0, 1))
-                t_nodes, t_prints, t_marks = table(tree_part)
-                q_nodes, q_prints, q_marks = (t_nodes, t_prints, t_marks) if query_part is None else table(query_part)
+                t_nodes, t_prints, t_marks, t_sets = own = table(tree_part)
+                q_nodes, q_prints, q_marks, q_sets = own if query_part is None else table(query_part)
                 nodes = np.concatenate((t_nodes, q_nodes))
                 shift = 0 if query_part is None else len(t_nodes)
                 tree, label = BKTree(t_prints), np.arange(len(nodes))
@@ -172,10 +199,18 @@ def _search(radius: int, agreement: float | None):
                     other = q_nodes[q] != t_nodes[n]
                     q, n = q[other], n[other]
                     if agreement is not None and len(q):
-                        near = np.concatenate([
-                            (q_marks[q[k : k + 16384]] == t_marks[n[k : k + 16384]]).mean(1) >= agreement
+                        share = np.concatenate([
+                            (q_marks[q[k : k + 16384]] == t_marks[n[k : k + 16384]]).mean(1)
                             for k in range(0, len(q), 16384)
                         ])
+                        near = share >= agreement
+                        if similarity is not None:
+                            # Every pair of a tree is met in both directions; the likeliest are compared first.
+                            near &= (q < n) | (query_part is not None)
+                            order = np.argsort(-share[near], kind="stable")
+                            u, v = (q[near] + shift)[order], n[near][order]
+                            label = _checked_labels(label, u, v, t_sets + q_sets if shift else t_sets, similarity)
+                            continue
                         q, n = q[near], n[near]
                     label = _joined_labels(len(nodes), q + shift, n, label)
                 for k in np.nonzero(label != np.arange(len(nodes)))[0]:
@@ -185,12 +220,20 @@ def _search(radius: int, agreement: float | None):
     return run
 
 
-def _links(members: DataFrame, keys: list[str], payload: list[str], radius: int, agreement: float | None) -> DataFrame:
-    """Links (u, v) between nodes that are near and share a shard (`keys`); payload starts with node and print."""
-    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    sizes = sizes.select(*[F.col(k).alias(f"_{k}") for k in keys], "_n")
+def _links(
+    members: DataFrame, keys: list[str], payload: list[str], radius: int, agreement: float | None, similarity: float | None = None
+) -> DataFrame:
+    """Links (u, v) between nodes that are near and share a shard (`keys`).
+
+    payload starts with node and print; the sketch and, if there is a
+    `similarity`, the shingle set follow.
+    """
+    held = F.lit(0) if similarity is None else F.sum(F.length(payload[3]))
+    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), held.alias("_bytes")).where("_n > 1")
+    sizes = sizes.select(*[F.col(k).alias(f"_{k}") for k in keys], "_n", "_bytes")
     same = [F.col(k) == F.col(f"_{k}") for k in keys]
-    dealt = members.join(sizes, same).withColumn("_trees", F.ceil(F.col("_n") / TREE_SIZE))
+    trees = F.ceil(F.greatest(F.col("_n") / TREE_SIZE, F.col("_bytes") / TREE_BYTES))
+    dealt = members.join(sizes, same).withColumn("_trees", trees)
     part = F.pmod(F.xxhash64(F.col(payload[0]), F.lit(1)), F.col("_trees")).alias("_part")
     kind = f"array<{members.select(F.struct(*payload).alias('x')).schema['x'].dataType.simpleString()}>"
     parts = kept(
@@ -204,7 +247,7 @@ def _links(members: DataFrame, keys: list[str], payload: list[str], radius: int,
     outer = cut.join(others, [*same, F.col("_part") < F.col("_other")]).select("members", "queries")
     spread = inner.unionByName(outer)
     spread = spread.repartition(F.xxhash64("members"), F.xxhash64("queries"))
-    run = _search(radius, agreement)
+    run = _search(radius, agreement, similarity)
     return alone.mapInArrow(run, "u long, v long").unionByName(spread.mapInArrow(run, "u long, v long")).distinct()
 
 
@@ -306,28 +349,55 @@ def _described(words: int):
     return run
 
 
+def _shingle_sets(words: int):
+    """The sorted set of a text's shingle hashes, eight bytes each, beside the node of its words."""
+    schema = pa.schema([("node", pa.int64()), ("grams", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(schema)
+        for batch in batches:
+            for node, text in rows_of(batch):
+                grams = np.unique(shingle_hashes(text, words)).astype("<u8").tobytes()
+                yield from out.add((node, grams), len(grams) + 16)
+        yield from out.flush()
+
+    return run
+
+
 def without_near_copies(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of `docs` without near copies: of each group the row with the least id stays, with all its columns.
 
     Two texts are near if their sets of `words`-word runs have a Jaccard
-    similarity of `similarity` or more, groups are connected components. Here the
-    shards are made of least-value keys, which texts so similar share with a
-    probability of 0.99996 (at 0.8); a shard's trees are searched with a radius
-    that wide (similar texts differ in 10 bits on average), and what is found is
-    accepted if the sketches of both texts agree in that share of 128 places
-    (standard error 0.035 at 0.8). Texts without words are copies of each other;
-    NULL ids come last in a group; of rows equal in all columns one stays.
+    similarity of `similarity` or more, groups are connected components. Every
+    link is such a pair, compared exactly. Which pairs are compared is settled
+    first: the shards are made of least-value keys, which texts so similar share
+    with a probability of 0.99996 (at 0.8); a shard's trees are searched with a
+    radius that wide (similar texts differ in 10 bits on average), and sketches
+    have to agree in all but LOOSE of the places that `similarity` stands for
+    (0.6 of 128 for 0.8; missed by 8 in 10^8 at 0.8). The components of that are
+    searched again, now with the shingle sets. Texts without words are copies of
+    each other; NULL ids come last in a group; of rows equal in all columns one
+    stays.
     """
     names = docs.columns
     mark = F.xxhash64(*[docs[c].cast("binary") if t == "string" else docs[c].cast("string") for c, t in docs.dtypes])
     tagged = docs.withColumn("_row", mark)
     described = kept(tagged.select("_row", text_col).mapInArrow(
         _described(words), "row long, node long, print long, marks binary, keys array<long>"))
-    texts = described.groupBy("node").agg(F.first("print").alias("print"), F.first("marks").alias("marks"), F.first("keys").alias("keys"))
+    texts = described.groupBy("node").agg(
+        F.first("print").alias("print"), F.first("marks").alias("marks"), F.first("keys").alias("keys"), F.min("row").alias("owner"))
     members = texts.select("node", "print", "marks", F.posexplode("keys").alias("band", "value"))
-    groups = components(_links(members, ["band", "value"], ["node", "print", "marks"], radius, similarity))
+    loose = components(_links(members, ["band", "value"], ["node", "print", "marks"], radius, similarity - LOOSE))
+    # Only texts that may have a partner are read again, each once for all rows with these words.
+    wanted = kept(texts.join(loose.select(F.col("node").alias("_node"), "root"), F.col("node") == F.col("_node")).select(
+        "node", "root", "print", "marks", "owner"))
+    again = tagged.select("_row", F.col(text_col).alias("_text")).join(wanted.select("node", "owner"), F.col("_row") == F.col("owner"))
+    sets = again.select("node", "_text").mapInArrow(_shingle_sets(words), "node long, grams binary")
+    sets = sets.groupBy(F.col("node").alias("_node")).agg(F.first("grams").alias("grams"))
+    compared = kept(wanted.join(sets, F.col("node") == F.col("_node")).select("node", "root", "print", "marks", "grams"))
+    groups = components(_links(compared, ["root"], ["node", "print", "marks", "grams"], radius, similarity - LOOSE, similarity))
     rows = tagged.select(F.col("_row"), F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id")).alias("order"))
     placed = described.select("row", "node").distinct().join(groups.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
     placed = placed.select("row", F.coalesce("root", "node").alias("root"))
