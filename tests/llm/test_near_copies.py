@@ -77,3 +77,22 @@ def test_large_group_over_several_trees(spark, monkeypatch):
             own[rng.randrange(300)] = f"x{rng.random()}"
         docs.append((k, " ".join(own)))
     assert stays(spark, docs) == exact_stays(docs)
+
+
+def test_lines_repeated_differently_often(spark):
+    # 426 common runs of 430, however often the paragraph comes.
+    rng = random.Random(7)
+    docs = []
+    for k in range(30):
+        text, line = ([f"{c}{k}w{rng.randrange(10**9)}" for _ in range(n)] for c, n in (("t", 400), ("l", 30)))
+        docs += [(len(docs), " ".join(text + line)), (len(docs) + 1, " ".join(text + line * (10, 20, 40)[k % 3]))]
+    assert stays(spark, docs) == exact_stays(docs) == set(range(0, 60, 2))
+
+
+def test_short_sets_are_not_cut_by_the_radius(spark):
+    # Four runs of five: the fingerprints differ in 12 bits on average, in more than 20 for one pair in 200.
+    docs = []
+    for k in range(2000):
+        line = [f"s{k}w{i}" for i in range(9)]
+        docs += [(len(docs), " ".join(line)), (len(docs) + 1, " ".join(line[:8]))]
+    assert stays(spark, docs) == set(range(0, 4000, 2))
