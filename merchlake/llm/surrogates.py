@@ -3,13 +3,23 @@
 Entities are found by one pattern. Each is reduced to a canonical value (a
 telephone number to its digits, an address to lower case), so that different
 spellings of one thing get one surrogate, in all texts. A keyed digest makes the
-surrogate: letters become letters of the same script, digits digits; first names
+surrogate: letters become letters of the same script (of scripts not listed here: Latin
+ones), digits digits; first names
 come from lists by gender and script, surnames by script; card numbers that
 pass their checksum still do.
 
 A surrogate must not equal a value that occurs in the texts, nor another
 surrogate of its kind. Values whose candidate fails that check draw again, until
 none is left; so different values stay different.
+
+What counts as an entity: e-mail addresses below an ASCII domain; hexadecimal
+secrets of 32 to 128 digits; account numbers (IBAN); social security numbers
+ddd-dd-dddd; card numbers of 13 to 19 digits; IPv4 addresses; telephone numbers
+with a plus, and without it those of ten digits as (ddd) ddd-dddd or
+ddd-ddd-dddd (also after a 1; then and with +1 the same number), those with the
+prefix 00, and those whose area code starts with 0, of nine digits or more.
+Without a plus there has to be a blank, dot, hyphen, slash or bracket: an
+undivided run of digits is no telephone number, nor is one of seven digits.
 """
 
 from __future__ import annotations
@@ -29,13 +39,24 @@ TITLES = {
 }
 _TITLE = "|".join(t for g in ("f", "m", "x") for t in sorted(TITLES[g], key=len, reverse=True))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# Telephone numbers without a plus: of ten digits, behind the prefix 00, and with an area code that starts with 0.
+_ALONE = r"(?<![\p{L}\p{N}+])(?<!\d[.-])"
+_TEN = rf"(?:(?:{_ALONE}1[ .-]?|(?<!\d))\(\d{{3}}\)[ .-]?|{_ALONE}(?:1[ .-])?[2-9]\d{{2}}[ .-])\d{{3}}[ .-]?\d{{4}}"
+_PREFIX = rf"{_ALONE}00[ .-]?[1-9]\d{{0,2}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?(?:\d{{1,4}}[ .-]){{1,4}}\d{{2,8}}"
+_TRUNK = (
+    r"(?<!\d[ .-])(?<!\d)(?!\d{2}[./-]\d{2}[./-]\d{4})(?=(?:[ ./()-]{0,2}\d){9})(?:"
+    rf"{_ALONE}0[1-9](?:[ .-]\d{{2}}){{4}}(?![ .-]\d)"
+    rf"|(?:\(0\d{{1,4}}\)[ ./-]?|{_ALONE}0\d{{1,4}}(?: ?[/-] ?|[ .]))(?:\d{{5,8}}(?:-\d{{1,4}})?|\d{{3,4}}(?:[ .-]\d{{2,4}}){{1,3}})"
+    rf"|(?:\(0\d{{2,4}}\)[ ./-]?|{_ALONE}0\d{{2,4}}(?: ?[/-] ?|[ .]))\d{{2}}(?:[ .-]\d{{2,4}}){{2,4}})"
+)
 # Kinds in the order in which they are tried, and their patterns.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"[\p{L}\p{N}][\p{L}\p{M}\p{N}._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?<![\p{L}\p{N}])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![\p{L}\p{N}])",
     "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\p{L}\p{N}])",
     "ssn": r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
+    "local": rf"(?:{_TEN}|{_PREFIX}|{_TRUNK})(?![\p{{L}}\p{{N}}]|[.-]\d)",
     "card": r"(?<![\p{L}\p{N}])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.\d)",
     "name": rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?",
@@ -66,6 +87,19 @@ ALPHABETS = [
     ("абвгдежзиклмнопрстуфхцчшэюя", "а", "я"),
     ("αβγδεζηθικλμνξοπρστυφχψω", "α", "ω"),
 ]
+# Every other letter, mark and number, by the first pattern that holds.
+OTHERS = [
+    (r"\p{N}", "0123456789"),
+    (r"\p{IsCyrillic}", "абвгдежзиклмнопрстуфхцчшэюя"),
+    (r"\p{IsGreek}", "αβγδεζηθικλμνξοπρστυφχψω"),
+    (r"\p{IsArabic}", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"),
+    (r"\p{IsHebrew}", "אבגדהוזחטיכלמנסעפצקרשת"),
+    (r"\p{IsHan}", "一七三上下中主之九也了事二于五人今他但作你來個們先入全八公六分前力十千又口古可右同名"),
+    (r"\p{IsHiragana}", "あいうえおかきくけこさしすせそたちつてとなにぬねのはひふへほまみむめもやゆよらりるれろわ"),
+    (r"\p{IsKatakana}", "アイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワ"),
+    (r"\p{IsHangul}", "가나다라마바사아자차카타파하고노도로모보소오조초코토포호구누두루무부수우주추쿠투푸후"),
+    (r"[\p{L}\p{M}]", "abcdefghijklmnopqrstuvwxyz"),
+]
 
 
 def _all(column: Column, pattern: str) -> Column:
@@ -93,11 +127,18 @@ def _name_words(entity: Column) -> Column:
     return F.split(F.regexp_replace(entity, rf"^(?:{_TITLE})\.? ", ""), " ")
 
 
+def _with_country(digits: Column) -> Column:
+    """The digits of a number without a plus as they are with it: ten are those behind +1, 00 is the plus."""
+    ten = (F.length(digits) == 10) & ~digits.startswith("0")
+    return F.when(ten, F.concat(F.lit("1"), digits)).otherwise(F.regexp_replace(digits, "^00", ""))
+
+
 def units(entity: Column) -> Column:
     """The values of an entity that get a surrogate each: array of (kind, value). A name has one for each of its words."""
     kind = kind_of(entity)
     value = (
-        F.when(kind.isin("phone", "ssn", "card"), F.regexp_replace(entity, "[^0-9]", ""))
+        F.when(kind == "local", _with_country(F.regexp_replace(entity, "[^0-9]", "")))
+        .when(kind.isin("phone", "ssn", "card"), F.regexp_replace(entity, "[^0-9]", ""))
         .when(kind == "iban", F.replace(entity, F.lit(" "), F.lit("")))
         .otherwise(F.lower(entity))
     )
@@ -112,7 +153,7 @@ def units(entity: Column) -> Column:
             F.lower(w).alias("value"),
         ),
     )
-    return F.when(kind == "name", named).otherwise(F.array(F.struct(kind.alias("kind"), value.alias("value"))))
+    return F.when(kind == "name", named).otherwise(F.array(F.struct(F.when(kind == "local", "phone").otherwise(kind).alias("kind"), value.alias("value"))))
 
 
 def _byte(stream: Column, i: Column) -> Column:
@@ -123,14 +164,19 @@ def _byte(stream: Column, i: Column) -> Column:
 def _same_form(value: Column, stream: Column) -> Column:
     """Every letter and digit replaced by one of its alphabet that the stream picks; all else stays."""
 
-    def pick(c: Column, i: Column) -> Column:
-        drawn = c
+    def drawn(c: Column, number: Column) -> Column:
+        letter = c
+        for pattern, letters in reversed(OTHERS):
+            letter = F.when(c.rlike(pattern), F.substring(F.lit(letters), F.pmod(number, F.lit(len(letters))) + 1, F.lit(1))).otherwise(letter)
         for letters, low, high in ALPHABETS:
             size = F.when(c.between("a", "f") & value.rlike("^[0-9a-f]{32,}$"), 6).otherwise(len(letters))
-            # Two bytes for a letter, so that the alphabet's letters are about equally likely.
-            at = F.pmod(_byte(stream, 2 * i) * 256 + _byte(stream, 2 * i + 1), size)
-            drawn = F.when(c.between(low, high), F.substring(F.lit(letters), at + 1, F.lit(1))).otherwise(drawn)
-        return drawn
+            letter = F.when(c.between(low, high), F.substring(F.lit(letters), F.pmod(number, size) + 1, F.lit(1))).otherwise(letter)
+        return letter
+
+    def pick(c: Column, i: Column) -> Column:
+        # Two bytes for a letter, so that the alphabet's letters are about equally likely; bound, as the number is used often.
+        number = _byte(stream, 2 * i) * 256 + _byte(stream, 2 * i + 1)
+        return F.get(F.transform(F.array(number), lambda n: drawn(c, n)), F.lit(0))
 
     return F.array_join(F.transform(F.split(value, ""), pick), "")
 
@@ -231,12 +277,17 @@ def _written(entity: Column, lookup: Column) -> Column:
     kind = kind_of(entity)
     # The n-th digit (for account numbers also letter) of the original makes room for the n-th of the surrogate.
     keep = F.when(kind == "iban", F.lit("[^0-9A-Z]")).otherwise(F.lit("[^0-9]"))
+    # The surrogate of a number without a plus has a country code more, or no 00 before it; a 00 stays.
+    shift = F.when(kind == "local", F.length(parts[0]["value"]) - F.length(F.regexp_replace(entity, "[^0-9]", ""))).otherwise(0)
+
+    def place(i: Column) -> Column:
+        return F.length(F.regexp_replace(F.substring(entity, F.lit(1), i + 1), keep, F.lit(""))) + shift
+
     filled = F.array_join(
         F.transform(
             F.split(entity, ""),
             lambda c, i: F.when(
-                F.regexp_replace(c, keep, F.lit("")) != "",
-                F.substring(found[0], F.length(F.regexp_replace(F.substring(entity, F.lit(1), i + 1), keep, F.lit(""))), F.lit(1)),
+                (F.regexp_replace(c, keep, F.lit("")) != "") & (place(i) > 0), F.substring(found[0], place(i), F.lit(1))
             ).otherwise(c),
         ),
         "",
@@ -245,7 +296,7 @@ def _written(entity: Column, lookup: Column) -> Column:
     title = F.substr(entity, F.lit(1), F.length(entity) - F.length(F.array_join(words, " ")))
     name = F.concat(title, F.array_join(F.transform(words, lambda w, i: _spelled(w, F.get(found, i))), " "))
     whole = F.when((entity == F.upper(entity)) & (entity != F.lower(entity)), F.upper(found[0])).otherwise(found[0])
-    return F.when(kind.isin("phone", "ssn", "card", "iban"), filled).when(kind == "name", name).otherwise(whole)
+    return F.when(kind.isin("phone", "local", "ssn", "card", "iban"), filled).when(kind == "name", name).otherwise(whole)
 
 
 def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
