@@ -24,8 +24,8 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def text_of(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+def text_of(column: str | Column) -> Column:
+    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
 def key_crc(column: str) -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merchlake.llm import bpe, decontaminate, language, licences, sharding, simhash, sql, surrogates, topk, toxicity, warc
+from merchlake.llm import bpe, decontaminate, language, licences, negatives, repair, rules, sharding, simhash, sql, surrogates, topk
+from merchlake.llm import toxicity, warc
 from merchlake.llm.common import key_crc, read
 from merchlake.session import scratch_path, tune
 
@@ -105,3 +106,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_byte_shards", sql.SHARDS)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.byte_shards(read(spark, sf_dir, "documents"), shards=24)
+
+
+@query("op11_rule_ledger", sql.RULE_LEDGER)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(rules.ledger(read(spark, sf_dir, "documents")))
+
+
+@query("op12_hard_negatives", sql.HARD_NEGATIVES)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.damaged(read(spark, sf_dir, "conversations")))

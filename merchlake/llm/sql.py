@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from merchlake.llm.licences import COPYRIGHT_LINE, KNOWN, SEPARATORS, SPELLINGS
+from merchlake.llm.rules import BITS, CURRENT, RULES
 
 
 def quoted(text: str) -> str:
@@ -105,3 +106,56 @@ SELECT page_id, payload_bytes, payload_digest,
        row_number() OVER (PARTITION BY urlkey ORDER BY page_id) AS capture
 FROM judged
 """
+
+
+_WORD = "[^\\x20\\x09-\\x0D]"
+_CASES = " + ".join(f"CASE WHEN {failure} THEN {1 << i} ELSE 0 END" for i, (_, failure) in enumerate(RULES))
+
+RULE_LEDGER = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w
+  FROM documents
+), windows AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, t) AS c FROM windows), (VALUES (0), (1), (2)) v(k)
+  WHERE c > 1 GROUP BY r
+), lines AS (
+  SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS again
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_WORD}') GROUP BY r
+), measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         coalesce(l.again, 0)::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(l.n, 0)::BIGINT AS n_lines, (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))::BIGINT AS n_capitals
+  FROM d LEFT JOIN covered c USING (r) LEFT JOIN lines l USING (r)
+)
+SELECT *, ({_CASES})::BIGINT AS failed_bits, '{CURRENT.version}' AS policy,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, ({_CASES}) & {sum(BITS[n] for n in CURRENT.hard)} = 0 AS kept
+FROM measured
+"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS w
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+         list_sum(list_transform(list_zip(a.w, c.w), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score
+  FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id))::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
