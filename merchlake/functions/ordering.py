@@ -139,39 +139,6 @@ def neighbours(
     )
 
 
-def percentiles(
-    df: DataFrame,
-    group: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    pieces: int | None = None,
-) -> DataFrame:
-    """Exact, linearly interpolated percentiles per group; one column per entry of `probs`.
-
-    Equal values are merged first, then ranks are computed range by range, so
-    no group is ever held in one task. NULL values are ignored.
-    """
-    merged = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return weighted_percentiles(merged, group, "_v", "_n", probs, pieces)
-
-
-def weighted_percentiles(
-    merged: DataFrame,
-    group: Sequence[str],
-    value: str,
-    weight: str,
-    probs: dict[str, float],
-    pieces: int | None = None,
-) -> DataFrame:
-    """`percentiles` over rows that stand for `weight` equal values each (values unique per group)."""
-    ranked = running_weight(merged, group, [value], weight, before="_before", total="_total", pieces=pieces)
-    return ranked_percentiles(ranked, group, value, weight, probs)
-
-
 def ranked_percentiles(
     ranked: DataFrame, group: Sequence[str], value: str, weight: str, probs: dict[str, float],
     before: str = "_before", total: str = "_total",

@@ -11,8 +11,10 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlake.functions.ordering import row_numbers, running_weight, tile
+from merchlake.functions.ordering import running_weight
 from merchlake.functions.scalars import as_day, money, ratio
+from merchlake.functions.selection import tiles_of
+from merchlake.session import scratch_root
 
 # Lists into which the products of one category and amount are dealt; a list holds a share of them.
 LEVEL_BUCKETS = 1024
@@ -158,25 +160,24 @@ def daily_product_sales(orders: DataFrame, returns: DataFrame, products: DataFra
     return daily.where(F.col("_lines") > 0).drop("_lines").join(named, "product_id")
 
 
-def customer_rfm(metrics: DataFrame, tiles: int = 5, pieces: int | None = None) -> DataFrame:
+def customer_rfm(metrics: DataFrame, tiles: int = 5) -> DataFrame:
     """Recency, frequency and monetary scores (5 is best) of customers with orders.
 
-    Ties are broken by customer id. The three rankings run range by range over
-    all customers, not in one task.
+    Ties are broken by customer id. The borders of all three rankings are looked
+    up from counts (`selection.tiles_of`); the customers themselves are neither
+    sorted nor shuffled.
     """
+    scratch_root(metrics.sparkSession)
     base = metrics.where(F.col("total_orders") > 0).select(
         "customer_id", "days_since_last_order", "total_orders", "total_spend"
-    )
-    scores = {
-        "r_score": [F.desc("days_since_last_order"), F.asc("customer_id")],
-        "f_score": [F.asc("total_orders"), F.asc("customer_id")],
-        "m_score": [F.asc("total_spend"), F.asc("customer_id")],
+    ).checkpoint()
+    orderings = {
+        "r_score": F.coalesce(-F.col("days_since_last_order"), F.lit(float("inf"))),
+        "f_score": F.col("total_orders"),
+        "m_score": F.col("total_spend"),
     }
-    for name, order in scores.items():
-        base = row_numbers(base, [], order, pieces=pieces)
-        base = base.withColumn(name, tile(F.col("rn"), F.col("n_rows"), tiles)).drop("rn", "n_rows")
-    code = F.concat(*[F.col(s).cast("string") for s in scores])
-    return base.withColumn("rfm_code", code)
+    code = F.concat(*[F.col(s).cast("string") for s in orderings])
+    return tiles_of(base, orderings, "customer_id", tiles).withColumn("rfm_code", code)
 
 
 def customer_features(orders: DataFrame, as_of: datetime, margin: float = 1.0) -> DataFrame:

@@ -8,8 +8,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlake.functions.ordering import percentiles
 from merchlake.functions.scalars import as_day, money, ratio, since
+from merchlake.functions.selection import with_percentiles
 
 # Alert limits.
 ERROR_RATE_LIMIT = 0.05
@@ -27,26 +27,19 @@ def _error_columns(count_name: str) -> list[Column]:
 
 
 def _with_percentiles(rows: DataFrame, group: list[str], value: str, probs: dict[str, float], aggs: list[Column],
-                      approximate: bool, pieces: int | None) -> DataFrame:
-    """Aggregates and percentiles per group; groups here are days or versions, few by nature.
+                      approximate: bool = False) -> DataFrame:
+    """Aggregates and percentiles per group.
 
-    Exact percentiles are ranked range by range; `approximate` uses a sketch
-    inside the same aggregation instead.
+    Exact percentiles come from counts of bins that are made in the same pass as
+    the aggregates; `approximate` uses a sketch instead.
     """
     if approximate:
         sketches = [F.percentile_approx(value, p, 100_000).cast("double").alias(n) for n, p in probs.items()]
         return rows.groupBy(*group).agg(*aggs, *sketches)
-    exact = percentiles(rows, group, value, probs, pieces)
-    counted = rows.groupBy(*group).agg(*aggs)
-    if not group:
-        return counted.withColumn("_k", F.lit(0)).join(exact.withColumn("_k", F.lit(0)), "_k", "left").drop("_k")
-    keys = exact.withColumnsRenamed({g: f"_p_{g}" for g in group})
-    match = [F.col(g).eqNullSafe(F.col(f"_p_{g}")) for g in group]
-    return counted.join(keys, match, "left").drop(*[f"_p_{g}" for g in group])
+    return with_percentiles(rows, group, value, probs, aggs)
 
 
-def latency_trend(log: DataFrame, as_of: datetime, days: int = 7, approximate: bool = False,
-                  pieces: int | None = None) -> DataFrame:
+def latency_trend(log: DataFrame, as_of: datetime, days: int = 7, approximate: bool = False) -> DataFrame:
     """Calls, latency and errors per day since `days` before today."""
     start = as_day(as_of) - timedelta(days=days)
     rows = log.where(F.col("timestamp") >= F.lit(start)).withColumn("date", F.to_date("timestamp"))
@@ -56,13 +49,12 @@ def latency_trend(log: DataFrame, as_of: datetime, days: int = 7, approximate: b
         *_error_columns("error_count"),
     ]
     found = _with_percentiles(
-        rows, ["date"], "latency_ms", {"p95_latency": 0.95, "p99_latency": 0.99}, aggs, approximate, pieces
+        rows, ["date"], "latency_ms", {"p95_latency": 0.95, "p99_latency": 0.99}, aggs, approximate
     )
     return found.withColumns({c: money(c) for c in ("p95_latency", "p99_latency")}).orderBy(F.desc("date"))
 
 
-def version_comparison(log: DataFrame, as_of: datetime, hours: int = 24, approximate: bool = False,
-                       pieces: int | None = None) -> DataFrame:
+def version_comparison(log: DataFrame, as_of: datetime, hours: int = 24, approximate: bool = False) -> DataFrame:
     rows = log.where(since("timestamp", as_of, hours=hours))
     aggs = [
         F.count(F.lit(1)).alias("total_calls"),
@@ -70,7 +62,7 @@ def version_comparison(log: DataFrame, as_of: datetime, hours: int = 24, approxi
         money(F.avg("latency_ms")).alias("avg_latency_ms"),
         *_error_columns("errors"),
     ]
-    found = _with_percentiles(rows, ["model_version"], "latency_ms", {"p95_latency_ms": 0.95}, aggs, approximate, pieces)
+    found = _with_percentiles(rows, ["model_version"], "latency_ms", {"p95_latency_ms": 0.95}, aggs, approximate)
     return found.withColumn("p95_latency_ms", money("p95_latency_ms")).orderBy(F.desc("total_calls"), "model_version")
 
 
@@ -96,7 +88,7 @@ def recent_errors(log: DataFrame, as_of: datetime, hours: int = 24, limit: int =
 
 
 def health_summary(log: DataFrame, model: str, as_of: datetime, error_limit_pct: float = 1.0,
-                   p95_limit_ms: float = 500.0, p99_limit_ms: float = 1000.0, pieces: int | None = None) -> DataFrame:
+                   p95_limit_ms: float = 500.0, p99_limit_ms: float = 1000.0) -> DataFrame:
     """One row on the last 24 hours: volume, errors, latency, active versions and a status."""
     rows = log.where(since("timestamp", as_of, hours=24))
     aggs = [
@@ -106,7 +98,7 @@ def health_summary(log: DataFrame, model: str, as_of: datetime, error_limit_pct:
         F.count(F.lit(1)).alias("queries_24h"),
     ]
     found = _with_percentiles(
-        rows, [], "latency_ms", {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}, aggs, False, pieces
+        rows, [], "latency_ms", {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}, aggs
     )
     error_pct = ratio(F.col("error_count_24h") * 100.0, F.col("queries_24h"))
     bad = (error_pct > error_limit_pct) | (F.col("p95_latency_ms") > p95_limit_ms) | (
@@ -224,12 +216,12 @@ def over_limits(measured: DataFrame, limits: DataFrame) -> DataFrame:
     )
 
 
-def measured_metrics(log: DataFrame, model: str, as_of: datetime, hours: int = 24, pieces: int | None = None):
+def measured_metrics(log: DataFrame, model: str, as_of: datetime, hours: int = 24):
     """p95, p99 and error rate of a model's log as (model_name, metric, value) rows."""
     rows = log.where(since("timestamp", as_of, hours=hours))
     aggs = [(F.count("error") * 100.0 / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("error_rate_pct")]
     found = _with_percentiles(
-        rows, [], "latency_ms", {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}, aggs, False, pieces
+        rows, [], "latency_ms", {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}, aggs
     )
     names = ["p95_latency_ms", "p99_latency_ms", "error_rate_pct"]
     return found.select(

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from merchlake.functions.ordering import percentiles
 from merchlake.functions.scalars import money
+from merchlake.functions.selection import with_percentiles
 from merchlake.operators import monitor
 from merchlake.plans.registry import CTES, day, moment, query, rounded
 from merchlake.sources import testdata
@@ -185,7 +185,7 @@ def error_rate_per_quarter_hour(spark, sf):
                {rounded("quantile_cont(l_extendedprice, 0.99)")} AS p99 FROM lineitem GROUP BY 1""",
 )
 def price_percentiles_per_line_status(spark, sf):
-    found = percentiles(
+    found = with_percentiles(
         testdata.table(spark, sf, "lineitem"), ["l_returnflag"], "l_extendedprice",
         {"median": 0.5, "p95": 0.95, "p99": 0.99},
     )

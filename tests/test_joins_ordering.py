@@ -87,16 +87,6 @@ def test_neighbours_cross_range_borders(spark):
             assert r["n"] == (r["x"] + 10 if r["i"] < 199 else None)
 
 
-def test_percentiles_equal_numpy(spark):
-    rng = np.random.default_rng(5)
-    data = {"a": rng.normal(size=301).round(2), "b": np.repeat([1.0, 2.0], [300, 7]), "c": np.array([4.0])}
-    df = spark.createDataFrame([(g, float(v)) for g, vs in data.items() for v in vs] + [("a", None)], "g STRING, v DOUBLE")
-    probs = {"p10": 0.1, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-    for r in ordering.percentiles(df, ["g"], "v", probs, pieces=6).collect():
-        for name, p in probs.items():
-            assert abs(r[name] - np.percentile(data[r["g"]], p * 100)) < 1e-9
-
-
 def test_hot_partition_is_split_at_run_time(spark, tmp_path):
     """A big key set of unknown hot keys: the join itself gets split, without listing them."""
     settings = {

@@ -24,7 +24,7 @@ def chat(spark, *data):
 
 
 def test_trend_and_percentiles(spark):
-    got = {str(r["date"]): r for r in monitor.latency_trend(model_log(spark), NOW, pieces=3).collect()}
+    got = {str(r["date"]): r for r in monitor.latency_trend(model_log(spark), NOW).collect()}
     today = got["2024-01-10"]
     assert today["total_predictions"] == 7
     assert today["p95_latency"] == round(float(np.percentile(range(7), 95)), 2)
@@ -33,7 +33,7 @@ def test_trend_and_percentiles(spark):
 
 def test_versions_features_errors(spark):
     log = model_log(spark)
-    versions = monitor.version_comparison(log, NOW, pieces=3).collect()
+    versions = monitor.version_comparison(log, NOW).collect()
     assert [(r["model_version"], r["total_calls"]) for r in versions] == [("v0", 7), ("v1", 6)]
     hours = monitor.hourly_features(log, NOW, ["amount"], hours=5).collect()
     assert [r["avg_amount"] for r in hours] == [None, 1.0, 2.0]
