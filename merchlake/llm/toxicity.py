@@ -14,10 +14,10 @@ than in others that chance is ruled out (log-likelihood ratio).
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -25,7 +25,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchlake.llm.common import Rows, key_crc, kept, rows_of
@@ -81,6 +81,10 @@ def terms_of(folded: str) -> set[str]:
     return terms
 
 
+# The matcher of the model used last in this process.
+_MACHINES: dict[bytes, ahocorasick.Automaton] = {}
+
+
 @dataclass
 class Model:
     """Entries with weights, and the factors of (1, log of the weight sum, log of the weight per 1,000 words)."""
@@ -90,6 +94,14 @@ class Model:
     exceptions: tuple[str, ...] = tuple(EXCEPTIONS)
 
     def automaton(self) -> ahocorasick.Automaton:
+        """The matcher; a worker process builds it once for all its tasks with the same entries."""
+        key = hashlib.sha256(repr((sorted(self.lexicon.items()), self.exceptions)).encode()).digest()
+        if key not in _MACHINES:
+            _MACHINES.clear()
+            _MACHINES[key] = self._built()
+        return _MACHINES[key]
+
+    def _built(self) -> ahocorasick.Automaton:
         machine = ahocorasick.Automaton()
         for term, weight in self.lexicon.items():
             machine.add_word(term, (len(term), weight))
@@ -129,36 +141,40 @@ def _near_copy_key(folded: str) -> int:
     return min(zlib.crc32(" ".join(words[i : i + 5]).encode()) for i in range(max(1, len(words) - 4)))
 
 
+# Terms counted in a task before their counts are handed on and added up by Spark; bounds memory only.
+HELD_TERMS = 100_000
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: in how many toxic and other texts each term stands."""
     schema = pa.schema([("term", pa.string()), ("pos", pa.int64()), ("neg", pa.int64())])
     out = Rows(schema)
-    counts: tuple[Counter, Counter] = (Counter(), Counter())
+    counts: dict[str, int] = {}
 
     def emit() -> Iterator[pa.RecordBatch]:
-        for term in {**counts[0], **counts[1]}:
-            yield from out.add((term, counts[1][term], counts[0][term]), 48)
-        counts[0].clear()
-        counts[1].clear()
+        while counts:
+            term, n = counts.popitem()
+            yield from out.add((term, n >> 32, n & 0xFFFFFFFF), 120)
 
     for batch in batches:
         for folded, toxic in rows_of(batch):
-            counts[toxic].update(terms_of(folded))
-            if len(counts[0]) + len(counts[1]) > 2_000_000:
-                yield from emit()
+            one = 1 << 32 if toxic else 1  # both counts in one number
+            for term in terms_of(folded):
+                counts[term] = counts.get(term, 0) + one
+                if len(counts) >= HELD_TERMS:
+                    yield from emit()
     yield from emit()
     yield from out.flush()
 
 
-def _ratio(pos: float, neg: float, n_pos: float, n_neg: float) -> float:
-    """Log-likelihood ratio of a term's counts against equal rates in both classes."""
-    rate = (pos + neg) / (n_pos + n_neg)
-    out = 0.0
-    for seen, n in ((pos, n_pos), (neg, n_neg)):
+def _ratio(n_pos: int, n_neg: int) -> Column:
+    """Log-likelihood ratio of a term's counts (columns pos, neg) against equal rates in both classes."""
+    rate = (F.col("pos") + F.col("neg")) / F.lit(float(n_pos + n_neg))
+    parts = []
+    for seen, n in ((F.col("pos"), float(n_pos)), (F.col("neg"), float(n_neg))):
         for k, p in ((seen, rate), (n - seen, 1 - rate)):
-            if k > 0:
-                out += 2 * k * math.log(k / n / p)
-    return out
+            parts.append(F.when(k > 0, 2 * k * F.log(k / n / p)).otherwise(0.0))
+    return parts[0] + parts[1] + parts[2] + parts[3]
 
 
 def fit(
@@ -213,24 +229,22 @@ def fit(
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         # Fewer cannot reach the ratio; far more toxic than other texts must hold the term.
         .where((F.col("pos") >= 5) & (F.col("pos") * n[0] > 4 * F.col("neg") * n[1]))
-        .orderBy(F.desc(F.col("pos") - F.col("neg") * (n[1] / n[0])), "term")
-        .limit(4 * max_entries)
+        .withColumn("ratio", F.round(_ratio(n[1], n[0]), 9))
+        .where(F.col("ratio") >= least_ratio)
+        .orderBy(F.desc("ratio"), F.desc(F.length("term")), F.desc("term"))
+        .limit(max_entries)
         .collect()
     )
     scored = []
-    for term, pos, neg in counted:
-        ratio = _ratio(pos, neg, n[1], n[0])
-        if ratio >= least_ratio:
-            weight = math.log((pos + 0.5) / (n[1] + 1)) - math.log((neg + 0.5) / (n[0] + 1))
-            scored.append((ratio, len(term), term, weight, pos))
+    for term, pos, neg, ratio in counted:
+        weight = math.log((pos + 0.5) / (n[1] + 1)) - math.log((neg + 0.5) / (n[0] + 1))
+        scored.append((ratio, len(term), term, weight, pos))
     lexicon = {f" {w} ": SEED_WEIGHT for w in SEED_TERMS}
-    lexicon |= _without_repetition(sorted(scored, reverse=True)[:max_entries])
+    lexicon |= _without_repetition(sorted(scored, reverse=True))
     model = Model(lexicon)
 
-    machine_of = model.automaton
-
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, out = machine_of(), Rows(pa.schema([("weight", pa.float64()), ("words", pa.int64()), ("toxic", pa.int32())]))
+        machine, out = model.automaton(), Rows(pa.schema([("weight", pa.float64()), ("words", pa.int64()), ("toxic", pa.int32())]))
         for batch in batches:
             for text, toxic in rows_of(batch):
                 weight, _, words = weigh(machine, text)
