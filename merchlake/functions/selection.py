@@ -11,12 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from merchlake.functions.joins import checked_broadcast
-from merchlake.session import scratch_root
+from merchlake.session import stored
 
 # Distinct values of a bin that one task may sort.
 FEW = 100_000
@@ -36,16 +36,11 @@ def bin_of(value: Column | str) -> Column:
     ).cast("long")
 
 
-def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on keys, NULL equal to NULL; the right side is broadcast where it is small."""
+def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", few: bool = False) -> DataFrame:
+    """Join on keys, NULL equal to NULL; the right side is broadcast where it is small, or said to be `few` rows."""
     other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     on = reduce(lambda a, b: a & b, [left[k].eqNullSafe(other[f"_r_{k}"]) for k in keys])
-    return left.join(checked_broadcast(other), on, how).drop(*[f"_r_{k}" for k in keys])
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    scratch_root(df.sparkSession)
-    return df.checkpoint()
+    return left.join(F.broadcast(other) if few else checked_broadcast(other), on, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def at_ranks(
@@ -56,7 +51,7 @@ def at_ranks(
     weight: str | None = None,
     bins: DataFrame | None = None,
 ) -> DataFrame:
-    """slot, rank, value, before: the row of each wanted 0-based rank, and how many rows of the slot are less.
+    """slot, rank, value, before, n_equal: the row of each wanted 0-based rank, and how many rows of its slot are less or equal to it.
 
     `wanted` holds slot columns and `rank`, a few rows a slot. `value` is a
     number or text and not NULL (NULL rows have to be left out, or counted
@@ -69,50 +64,62 @@ def at_ranks(
     known = rows.where(F.col(value).isNotNull()).select(*slot, F.col(value).alias("_v"), one.cast("long").alias("_n"))
     first = F.substring("_v", 1, PREFIX) if spoken else bin_of("_v")
     found = _search(known.withColumn("_bin", first), list(slot), wanted.select(*slot, "rank"), spoken, 1, bins)
-    return found.select(*slot, "rank", F.col("_v").alias(value), "before")
+    return found.select(*slot, "rank", F.col("_v").alias(value), "before", "n_equal")
+
+
+def _running(slot: Sequence[str], order: str) -> Column:
+    return F.sum("_n").over(Window.partitionBy(*slot).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def _search(rows: DataFrame, slot: list[str], wanted: DataFrame, spoken: bool, level: int, bins: DataFrame | None) -> DataFrame:
     """`at_ranks` over (slot, _bin, _v, _n); calls itself for bins with many distinct values."""
     if bins is None:
-        bins = rows.groupBy(*slot, "_bin").agg(F.sum("_n").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*slot).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0))
+        bins = stored(rows.groupBy(*slot, "_bin").agg(F.sum("_n").alias("_n")), "bins")
+    upto = _running(slot, "_bin")
     ranges = bins.select(*slot, "_bin", (upto - F.col("_n")).alias("_from"), upto.alias("_to"))
     aims = _match(ranges, wanted, slot).where((F.col("rank") >= F.col("_from")) & (F.col("rank") < F.col("_to")))
-    aims = _kept(aims.select(*slot, "_bin", "rank", "_from"))
+    # Stored, so that their true size decides on the broadcast.
+    aims = stored(aims.select(*slot, "_bin", "rank", "_from"), "aims")
     own = [*slot, "_bin"]
+    found = Observation()
     cells = _match(rows, aims.select(*own).distinct(), own).groupBy(*own, "_v").agg(F.sum("_n").alias("_n"))
-    cells = _kept(cells)
-    low = F.min(F.col("_v") if spoken else F.col("_v").cast("double"))
-    high = F.max(F.col("_v") if spoken else F.col("_v").cast("double"))
-    sizes = _kept(cells.groupBy(*own).agg(F.count(F.lit(1)).alias("_size"), low.alias("_low"), high.alias("_high")))
-    # A bin whose ends are one number, or one text, cannot be parted further.
-    many = (F.col("_size") > FEW) & (F.col("_low") < F.col("_high"))
-    split = bool(sizes.where(many).limit(1).count())
-    plain = _match(cells, sizes.where(~many).select(*own), own) if split else cells
-    upto = F.sum("_n").over(Window.partitionBy(*own).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    cells = stored(cells.observe(found, F.count(F.lit(1)).alias("n")), "cells")
+    split = False
+    if found.get["n"] > FEW:
+        kind = "string" if spoken else "double"
+        low, high = (f(F.col("_v").cast(kind)) for f in (F.min, F.max))
+        sizes = cells.groupBy(*own).agg(F.count(F.lit(1)).alias("_size"), low.alias("_low"), high.alias("_high"))
+        # A bin whose ends are one number, or one text, cannot be parted further.
+        many = (F.col("_size") > FEW) & (F.col("_low") < F.col("_high"))
+        sizes = stored(sizes.withColumn("_many", F.coalesce(many, F.lit(False))).drop("_size"), "sizes")
+        split = bool(sizes.where("_many").limit(1).count())
+    plain = _match(cells, sizes.where("NOT _many").select(*own), own) if split else cells
+    upto = _running(own, "_v")
     ranked = plain.select(*own, "_v", (upto - F.col("_n")).alias("_inner"), F.col("_n").alias("_w"))
     inside = F.col("rank") - F.col("_from")
     hit = _match(ranked, aims, own).where((inside >= F.col("_inner")) & (inside < F.col("_inner") + F.col("_w")))
-    found = hit.select(*slot, "rank", "_v", (F.col("_from") + F.col("_inner")).alias("before"))
+    found = hit.select(*slot, "rank", "_v", (F.col("_from") + F.col("_inner")).alias("before"), F.col("_w").alias("n_equal"))
     if not split:
         return found
     # The bins with many values become slots of their own.
     parted = {"_bin": f"_bin{level}"}
     deeper = [*slot, parted["_bin"]]
-    rest = _match(cells, sizes.where(many).drop("_size"), own).withColumnsRenamed(parted)
+    large = sizes.where("_many").drop("_many")
+    rest = _match(cells, large, own).withColumnsRenamed(parted)
     if spoken:
         finer = F.substring("_v", 1, PREFIX * (level + 1))
     else:
         share = (F.col("_v").cast("double") - F.col("_low")) / (F.col("_high") - F.col("_low"))
         finer = F.floor(share * FINER)
     rest = rest.withColumn("_bin", finer).drop("_low", "_high")
-    aims = _match(aims, sizes.where(many).select(*own), own).withColumnsRenamed(parted)
+    aims = _match(aims, large.select(*own), own).withColumnsRenamed(parted)
     below = _search(rest, deeper, aims.select(*deeper, (F.col("rank") - F.col("_from")).alias("rank")), spoken, level + 1, None)
     back = _match(below, aims.select(*deeper, F.col("rank").alias("_rank"), "_from"), deeper).where(
         F.col("rank") == F.col("_rank") - F.col("_from")
     )
-    return found.unionByName(back.select(*slot, F.col("_rank").alias("rank"), "_v", (F.col("_from") + F.col("before")).alias("before")))
+    return found.unionByName(
+        back.select(*slot, F.col("_rank").alias("rank"), "_v", (F.col("_from") + F.col("before")).alias("before"), "n_equal")
+    )
 
 
 def with_percentiles(
@@ -129,7 +136,7 @@ def with_percentiles(
         # Grouping by nothing gives one row; sets of groups give none for no rows.
         made = with_percentiles(rows.withColumn("_all", F.lit(1)), ["_all"], value, probs, aggs)
         none = rows.limit(0).agg(*aggs, *[F.lit(None).cast("double").alias(p) for p in probs])
-        made = _kept(made.drop("_all"))
+        made = stored(made.drop("_all"), "percentiles")
         return none if made.isEmpty() else made
     group = list(group)
     binned = rows.withColumn("_bin", bin_of(value))
@@ -137,7 +144,7 @@ def with_percentiles(
     both = binned.groupingSets(sets, *group, "_bin").agg(
         *aggs, F.count(value).alias("_n"), F.grouping("_bin").alias("_whole")
     )
-    both = _kept(both)
+    both = stored(both, "bins")
     bins = both.where((F.col("_whole") == 0) & (F.col("_n") > 0)).select(*group, "_bin", "_n")
     groups = both.where("_whole = 1").drop("_bin", "_whole")
     spots = []
@@ -185,11 +192,17 @@ def tiles_of(rows: DataFrame, orderings: dict[str, Column], key: str, tiles: int
     )
     spark = rows.sparkSession
     wanted = spark.createDataFrame([(c, s) for c in names for s in starts], "ordering STRING, rank LONG")
-    values = _kept(at_ranks(long, ["ordering"], "v", wanted))
-    tied = _match(long, values.select("ordering", "v").distinct(), ["ordering", "v"])
-    inner = values.select("ordering", "v", (F.col("rank") - F.col("before")).alias("rank")).distinct()
-    keys = at_ranks(tied, ["ordering", "v"], "_key", inner)
-    borders = keys.groupBy("ordering").agg(F.collect_list(F.struct("v", "_key")).alias("_b")).collect()  # tiles - 1 an ordering
+    values = at_ranks(long, ["ordering"], "v", wanted).collect()  # tiles - 1 an ordering
+    inner = spark.createDataFrame(
+        sorted({(r["ordering"], r["v"], r["rank"] - r["before"]) for r in values}), "ordering STRING, v DOUBLE, rank LONG"
+    )
+    tied = _match(long, inner.select("ordering", "v").distinct(), ["ordering", "v"], few=True)
+    if sum({(r["ordering"], r["v"]): r["n_equal"] for r in values}.values()) <= FEW:
+        place = F.row_number().over(Window.partitionBy("ordering", "v").orderBy("_key")) - 1
+        keys = _match(tied.withColumn("rank", place.cast("long")), inner, ["ordering", "v", "rank"], few=True)
+    else:
+        keys = at_ranks(tied, ["ordering", "v"], "_key", inner)
+    borders = keys.groupBy("ordering").agg(F.collect_list(F.struct("v", "_key")).alias("_b")).collect()
     kind = rows.schema[key].dataType
     out = {}
     for name in names:

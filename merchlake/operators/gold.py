@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from merchlake.functions.ordering import running_weight
 from merchlake.functions.scalars import as_day, money, ratio
 from merchlake.functions.selection import tiles_of
-from merchlake.session import scratch_root
+from merchlake.session import stored
 
 # Lists into which the products of one category and amount are dealt; a list holds a share of them.
 LEVEL_BUCKETS = 1024
@@ -167,10 +167,9 @@ def customer_rfm(metrics: DataFrame, tiles: int = 5) -> DataFrame:
     up from counts (`selection.tiles_of`); the customers themselves are neither
     sorted nor shuffled.
     """
-    scratch_root(metrics.sparkSession)
-    base = metrics.where(F.col("total_orders") > 0).select(
+    base = stored(metrics.where(F.col("total_orders") > 0).select(
         "customer_id", "days_since_last_order", "total_orders", "total_spend"
-    ).checkpoint()
+    ), "rfm")
     orderings = {
         "r_score": F.coalesce(-F.col("days_since_last_order"), F.lit(float("inf"))),
         "f_score": F.col("total_orders"),

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchlake.operators import monitor, quality
-from merchlake.plans.registry import CTES, moment, query, rounded
+from merchlake.plans.registry import CTES, day, moment, query, rounded
 from merchlake.session import scratch_path
 from merchlake.sources import testdata
 from merchlake.streaming import orders as stream
 
+SLICES = 4
+
 CTES["order_messages"] = """
     SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderkey % 50 = 7 AS broken, copy
     FROM orders JOIN (VALUES (1), (2)) v(copy) ON copy = 1 OR o_orderkey % 3 = 0"""
@@ -95,6 +97,71 @@ def stream_daily_totals(spark, sf):
     return totals.withColumn("gross_revenue", F.round(F.round("gross_revenue", 6), 2))
 
 
+CTES["numbered_orders"] = """
+    SELECT o_orderkey, o_orderdate, CASE WHEN o_orderkey % 40 = 9 THEN 0.0 ELSE o_totalprice END AS price,
+           o_custkey + CASE WHEN o_orderkey % 20 = 4 THEN 1000000000 ELSE 0 END AS customer_id,
+           o_orderkey * 7 % (SELECT count(*) + count(*) // 10 FROM part) AS product_id
+    FROM orders WHERE o_orderkey % 50 <> 7"""
+CTES["judged_orders"] = """
+    SELECT *, customer_id IN (SELECT c_custkey FROM customer) AS known_customer,
+           product_id IN (SELECT p_partkey FROM part) AS known_product FROM numbered_orders"""
+
+DELAY_DAYS, LATE_DAYS, COPY_DAYS = 3, 2, 30
+
+
+def _order_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages with the day each arrives: every fifth two days late, every third twice, the copy up to 30 days later."""
+    orders = testdata.table(spark, sf_dir, "orders")
+    n_parts = testdata.table(spark, sf_dir, "part").count()
+    key, copy = F.col("o_orderkey"), F.col("copy")
+    copies = F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    body = F.to_json(
+        F.struct(
+            key.cast("string").alias("order_id"),
+            (F.col("o_custkey") + F.when(key % 20 == 4, 1_000_000_000).otherwise(0)).cast("string").alias("customer_id"),
+            (key * 7 % (n_parts + n_parts // 10)).cast("string").alias("product_id"),
+            F.lit(1).alias("quantity"),
+            F.when(key % 40 == 9, 0.0).otherwise(F.col("o_totalprice")).alias("unit_price"),
+            F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("order_ts"),
+        )
+    )
+    late = F.when(key % 5 == 2, LATE_DAYS).otherwise(0) + copy * F.when(key % 6 == 0, COPY_DAYS).otherwise(1)
+    return orders.withColumn("copy", F.explode(copies)).select(
+        F.when(key % 50 == 7, F.concat(F.lit("{broken "), key)).otherwise(body).cast("binary").alias("value"),
+        F.lit(0).alias("partition"),
+        (key * 2 + copy).cast("long").alias("offset"),
+        F.date_add(F.to_date("o_orderdate"), late.cast("int")).cast("timestamp").alias("timestamp"),
+    )
+
+
+@query(
+    "stream_validated_daily_totals",
+    f"""SELECT {day("o_orderdate")} AS order_date, count(CASE WHEN good THEN 1 END) AS num_orders,
+               CAST(coalesce(sum(CASE WHEN good THEN CAST(price AS DECIMAL(18,4)) END), 0) AS DOUBLE) AS gross_revenue,
+               count(CASE WHEN NOT good THEN 1 END) AS rejected, count(CASE WHEN NOT known_customer THEN 1 END) AS unknown_customer,
+               count(CASE WHEN NOT known_product THEN 1 END) AS unknown_product, count(CASE WHEN price <= 0 THEN 1 END) AS bad_price
+        FROM (SELECT *, known_customer AND known_product AND price > 0 AS good FROM judged_orders)
+        GROUP BY o_orderdate
+        HAVING CAST(o_orderdate AS TIMESTAMP) + INTERVAL {DELAY_DAYS + 1} DAY <= (SELECT CAST(max(o_orderdate) AS TIMESTAMP) FROM numbered_orders)""",
+)
+def stream_validated_daily_totals(spark, sf):
+    """De-duplication, validation and totals in one stream, stopped and started anew for every slice of arrivals."""
+    source, out, mark = (scratch_path(spark, n) for n in ("deliveries", "totals", "mark"))
+    messages = _order_deliveries(spark, sf)
+    first, last = testdata.table(spark, sf, "orders").agg(
+        F.min(F.to_date("o_orderdate")).cast("timestamp"), F.max(F.to_date("o_orderdate")).cast("timestamp")
+    ).first()
+    borders = [first + i * (last - first) / SLICES for i in range(1, SLICES)]
+    slice_no = sum(((F.col("timestamp") >= F.lit(b)).cast("int") for b in borders), F.lit(0))
+    customers = testdata.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("customer_id"))
+    products = testdata.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("product_id"))
+    for i in range(SLICES):
+        messages.where(slice_no == i).write.mode("append").parquet(source)
+        events = stream.order_events(stream.file_stream(spark, source), f"{DELAY_DAYS} days")
+        _run(stream.land(stream.validated_daily_totals(events, customers, products), out, mark))
+    return spark.read.parquet(out).withColumn("gross_revenue", F.col("gross_revenue").cast("double"))
+
+
 @query(
     "stream_quality_split",
     """SELECT o_custkey % 2 = 0 AND NOT broken AS accepted, count(*) AS n FROM order_messages GROUP BY 1""",
@@ -139,7 +206,6 @@ def stream_error_windows(spark, sf):
     return spark.read.parquet(out)
 
 
-SLICES = 4
 LATE_MINUTES = 40
 
 CTES["arrivals"] = f"""
@@ -178,9 +244,8 @@ def stream_late_rows(spark, sf):
         arrived.where(after & before).select("event_id", "ts").write.mode("append").parquet(source)
         for delay, (out, mark) in delays.items():
             rows = stream.file_stream(spark, source, events.schema).withWatermark("ts", f"{delay} minutes")
-            handle = stream.land(stream.without_repeats(rows, "event_id"), out, mark)
-            handle.awaitTermination()
-            dropped[delay] += stream.dropped_late_rows(handle)
+            unique = stream.without_repeats(rows, "event_id")
+            dropped[delay] = stream.run_counting_late_rows(spark, lambda u=unique, o=out, m=mark: stream.land(u, o, m), mark)
     parts = [
         spark.read.parquet(out).agg(F.count(F.lit(1)).alias("landed")).select(
             F.lit(delay).alias("delay"), "landed", F.lit(dropped[delay]).alias("dropped")

@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 MB = 1024 * 1024
 
@@ -75,3 +75,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the scratch root."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
 
+
+
+def stored(df: DataFrame, label: str = "part") -> DataFrame:
+    """The rows as a table in the scratch folder, read back: computed once, and not again when executors are lost.
+
+    Unlike `checkpoint()`, which runs a plan twice, once to count and once to write.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -82,15 +82,15 @@ def test_percentiles_equal_numpy(spark, monkeypatch, few):
 
 def test_only_rows_of_wanted_bins_are_counted_again(spark, monkeypatch):
     """What is grouped by value after the first pass is a small part of the distinct values."""
-    seen, kept = [], selection._kept
+    seen, stored = [], selection.stored
 
-    def counted(df):
-        out = kept(df)
-        if "_v" in out.columns:
+    def counted(df, label):
+        out = stored(df, label)
+        if label == "cells":
             seen.append(out.count())
         return out
 
-    monkeypatch.setattr(selection, "_kept", counted)
+    monkeypatch.setattr(selection, "stored", counted)
     df = spark.range(200_000).select((F.col("id") * 0.37 + 5).alias("v"))
     row = selection.with_percentiles(df, [], "v", {"p50": 0.5, "p99": 0.99}).first()
     assert abs(row["p50"] - (199_999 * 0.37 / 2 + 5)) < 1e-6
