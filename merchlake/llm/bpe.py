@@ -9,6 +9,7 @@ the other. Fragments are short and recur, so a task remembers them.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -27,6 +28,8 @@ WORD_END = "</w>"
 # How many fragments and words a task remembers before it starts anew.
 REMEMBERED = 150_000
 NO_MERGE = 1 << 60
+# Symbols of a fragment from which on pairs are kept in a heap.
+LONG = 48
 
 # Fixed value: the vocabulary's own split of normalised text.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -93,7 +96,9 @@ class Encoder:
         yield tuple(symbols[start:])
 
     def merge(self, fragment: tuple[str, ...]) -> tuple[int, ...]:
-        """Merge the lowest-ranked pair, leftmost first, until none is left."""
+        """Merge the lowest-ranked pair, leftmost first, until none is left. Every symbol has an id, so nothing is lost."""
+        if len(fragment) > LONG:
+            return self._merge_long(fragment)
         parts, rank = list(fragment), self.ranks.get
         ranked = [rank(pair, NO_MERGE) for pair in zip(parts, parts[1:], strict=False)]
         while ranked and (best := min(ranked)) < NO_MERGE:
@@ -104,7 +109,31 @@ class Encoder:
                 ranked[i - 1] = rank((parts[i - 1], parts[i]), NO_MERGE)
             if i < len(ranked):
                 ranked[i] = rank((parts[i], parts[i + 1]), NO_MERGE)
-        return tuple(self.ids[p] for p in parts if p in self.ids)
+        return tuple(map(self.ids.__getitem__, parts))
+
+    def _merge_long(self, fragment: tuple[str, ...]) -> tuple[int, ...]:
+        """`merge` with a heap of pairs over linked parts: n log n, for words of any length."""
+        parts, n, rank = list(fragment), len(fragment), self.ranks.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i, pair in enumerate(zip(parts, parts[1:], strict=False)) if (r := rank(pair)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            # A pair whose parts have changed since is no longer there.
+            if parts[i] is None or j == n or rank((parts[i], parts[j])) != r:
+                continue
+            parts[i] += parts[j]
+            parts[j] = None
+            after[i] = k = after[j]
+            if k < n:
+                before[k] = i
+                if (new := rank((parts[i], parts[k]))) is not None:
+                    heapq.heappush(heap, (new, i))
+            h = before[i]
+            if h >= 0 and (new := rank((parts[h], parts[i]))) is not None:
+                heapq.heappush(heap, (new, h))
+        return tuple(self.ids[p] for p in parts if p is not None)
 
     def word(self, word: str) -> tuple[int, ...]:
         found = self.words.get(word)

@@ -65,6 +65,9 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # No entity without one of these; far cheaper than the patterns.
 HINT = rf"[0-9@]|{_TITLE}"
 
+# Attempts after which forms grow, and after which the search for surrogates is given up.
+CROWDED, MOST_ATTEMPTS = 4, 80
+
 # Names by script and gender.
 FIRST = {
     ("latin", "f"): ["Anna", "Clara", "Elena", "Emma", "Ida", "Julia", "Laura", "Lena", "Maria", "Nora", "Olga", "Paula", "Rosa", "Sara", "Vera", "Zoe"],
@@ -204,7 +207,10 @@ def candidate(kind: Column, value: Column, key: str, attempt: int) -> Column:
     """The surrogate that the key draws for a value at an attempt, in canonical form."""
     seed = F.concat_ws("\u0001", F.lit(key), kind, value, F.lit(str(attempt)))
     stream = F.concat(*[F.sha2(F.concat_ws("\u0001", seed, F.lit(str(k))), 512) for k in range(4)])
-    form = _same_form(value, stream)
+    # After some attempts in vain the form may be full, and gets one more place.
+    more = attempt // CROWDED
+    longer = F.when(kind.isin("phone", "ssn", "card", "iban"), F.lit("0" * more)).otherwise(F.lit("a" * more))
+    form = _same_form(F.concat(value, longer), stream)
     phone = F.concat(F.substring(value, 1, 1), F.substr(form, F.lit(2)))
     # The last digit of a valid card number is set so that the checksum comes out as 0 again.
     body = F.substr(form, F.lit(1), F.length(form) - 1)
@@ -218,7 +224,7 @@ def candidate(kind: Column, value: Column, key: str, attempt: int) -> Column:
     domain_stream = F.concat(*[F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit("domain"), domain, F.lit(str(k))), 512) for k in range(4)])
     host = F.substring_index(domain, ".", 1)
     email = F.concat(
-        _same_form(F.substring_index(value, "@", 1), stream), F.lit("@"), _same_form(host, domain_stream), F.lit(".example")
+        _same_form(F.concat(F.substring_index(value, "@", 1), longer), stream), F.lit("@"), _same_form(host, domain_stream), F.lit(".example")
     )
     drawn = (
         F.when(kind == "phone", phone)
@@ -244,8 +250,10 @@ def assign(values: DataFrame, key: str) -> DataFrame:
     A candidate is refused if it occurs as a value of its kind, has been given
     away at an earlier attempt, or is wanted by several values; of these the
     least gets it. Whoever is refused draws again. Names are joined to longer ones
-    at later attempts, so the draws come to an end. One number of rows comes to
-    the driver for each attempt.
+    at later attempts, and after every CROWDED of them other forms grow by a digit
+    or letter, so there is room for all. Only addresses of the net, of which there are
+    some 3.7 billion, have a fixed form. MOST_ATTEMPTS without an end stop the job
+    with the kinds that are left.
     """
     pending = kept(values.select("kind", "value").distinct())
     everything, given, attempt = pending, [], 0
@@ -261,6 +269,9 @@ def assign(values: DataFrame, key: str) -> DataFrame:
         if pending.isEmpty():
             return reduce(DataFrame.unionByName, given)
         attempt += 1
+        if attempt == MOST_ATTEMPTS:
+            left = {r["kind"]: r["count"] for r in pending.groupBy("kind").count().collect()}
+            raise RuntimeError(f"no surrogates left, values by kind: {left}")
 
 
 def _spelled(word: Column, surrogate: Column) -> Column:
@@ -283,6 +294,7 @@ def _written(entity: Column, lookup: Column) -> Column:
     def place(i: Column) -> Column:
         return F.length(F.regexp_replace(F.substring(entity, F.lit(1), i + 1), keep, F.lit(""))) + shift
 
+    behind = F.substr(found[0], F.length(parts[0]["value"]) + 1)  # what a longer surrogate has beyond the original's digits
     filled = F.array_join(
         F.transform(
             F.split(entity, ""),
@@ -296,7 +308,7 @@ def _written(entity: Column, lookup: Column) -> Column:
     title = F.substr(entity, F.lit(1), F.length(entity) - F.length(F.array_join(words, " ")))
     name = F.concat(title, F.array_join(F.transform(words, lambda w, i: _spelled(w, F.get(found, i))), " "))
     whole = F.when((entity == F.upper(entity)) & (entity != F.lower(entity)), F.upper(found[0])).otherwise(found[0])
-    return F.when(kind.isin("phone", "local", "ssn", "card", "iban"), filled).when(kind == "name", name).otherwise(whole)
+    return F.when(kind.isin("phone", "local", "ssn", "card", "iban"), F.concat(filled, behind)).when(kind == "name", name).otherwise(whole)
 
 
 def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:

@@ -41,3 +41,25 @@ def test_letters_of_every_script_are_replaced(spark):
     for name, text in zip(names, replaced(spark, [f"to {n}@mail.com" for n in names]), strict=True):
         got = re.fullmatch(r"to (.{12})@[a-z]{4}\.example", text)[1]
         assert not any(c in got for c in name if c != "e") and name not in text
+
+
+def test_more_values_than_their_form_has_room_for(spark):
+    """Every one-letter name of a domain and 6,000 of the 10,000 numbers of five digits: surrogates grow and stay distinct."""
+    letters = [f"{c}@mail.com" for c in "abcdefghijklmnopqrstuvwxyzé"]
+    numbers = [f"+{n}" for n in range(12_000, 18_000)]
+    values = [("email", x) for x in letters] + [("phone", n[1:]) for n in numbers]
+    given = surrogates.assign(spark.createDataFrame(values, "kind string, value string"), "key").collect()
+    assert {(r["kind"], r["value"]) for r in given} == set(values)
+    assert len({(r["kind"], r["surrogate"]) for r in given}) == len(values)
+    assert not {(r["kind"], r["surrogate"]) for r in given} & set(values)
+    out = replaced(spark, [f"to {x} now" for x in letters])
+    assert len(set(out)) == len(letters)
+    assert all(re.fullmatch(r"to [a-z]{1,4}@[a-z]{4}\.example now", t) for t in out)
+
+
+def test_longer_surrogates_are_written_whole(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "CROWDED", 1)
+    drawn = surrogates.candidate
+    monkeypatch.setattr(surrogates, "candidate", lambda kind, value, key, attempt: drawn(kind, value, key, attempt + 2))
+    out = replaced(spark, ["call +49 30 123456 now", "pay 4111 1111 1111 1111 now"])
+    assert re.fullmatch(r"call \+4\d \d\d \d{8} now", out[0]) and re.fullmatch(r"pay (\d{4} ){3}\d{6} now", out[1])

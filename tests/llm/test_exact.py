@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -60,6 +61,19 @@ def test_encoding_of_random_texts():
         assert own.encode(text) == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_long_words_equal_the_library_in_bounded_time():
+    from tokenizers import Tokenizer
+
+    library, own, rng = Tokenizer.from_file(TOKENIZER), bpe.Encoder(TOKENIZER), random.Random(6)
+    words = ["a" * 300_000, "ab" * 2000, "the" * 3000, "".join(rng.choice("aeinrst") for _ in range(50_000))]
+    words += ["".join(rng.choice("abcdehilnorstu") for _ in range(rng.randrange(40, 200))) for _ in range(300)]
+    start = time.process_time()
+    found = [own.encode(w) for w in words]
+    assert time.process_time() - start < 30
+    for word, ids in zip(words, found, strict=True):
+        assert ids == library.encode(word, add_special_tokens=False).ids, word[:50]
+
+
 def test_cuts_never_part_a_token():
     own = bpe.Encoder(TOKENIZER)
     for token in list(own.ids)[:5000]:
