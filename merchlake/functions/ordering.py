@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from merchlake.functions.joins import estimated_bytes
 from merchlake.session import MB, scratch_root
 
-PIECE = "_piece"
+PIECE, HALO = "_piece", "_halo"
 RANGE_BYTES = 64 * MB
 MOST_RANGES = 64
 
@@ -139,6 +139,27 @@ def neighbours(
     )
 
 
+def with_halo(df: DataFrame, group: Sequence[str], order: Sequence[str], before: int, pieces: int | None = None) -> DataFrame:
+    """The rows cut into ranges (PIECE), each with the `before` rows of its group that come before it, marked by HALO.
+
+    Frames that reach back at most so many rows can then be computed inside the
+    ranges, and the marked rows dropped. Only the last rows of the ranges, as
+    arrays of `before` rows, move between them. `order` must be unique inside the
+    group.
+    """
+    cut = cut_into_ranges(df, group, order, pieces)
+    newest = Window.partitionBy(*group, PIECE).orderBy(*[F.desc(o) for o in order])
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    ends = cut.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= before)
+    tails = ends.groupBy(*group, PIECE).agg(F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("o"), row.alias("row")))).alias("_tail"))
+    # Every range with rows of the group has a last one, so the wanted rows lie in the `before` ranges before.
+    across = Window.partitionBy(*group).orderBy(PIECE).rowsBetween(-before, -1)
+    reach = tails.withColumn("_reach", F.flatten(F.collect_list("_tail").over(across)))
+    last = F.slice("_reach", F.greatest(F.size("_reach") - before, F.lit(0)) + 1, before)
+    halo = reach.select(PIECE, F.explode(F.transform(last, lambda x: x["row"])).alias("_row")).select("_row.*", PIECE)
+    return cut.withColumn(HALO, F.lit(False)).unionByName(halo.withColumn(HALO, F.lit(True)))
+
+
 def ranked_percentiles(
     ranked: DataFrame, group: Sequence[str], value: str, weight: str, probs: dict[str, float],
     before: str = "_before", total: str = "_total",

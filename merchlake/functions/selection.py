@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -20,20 +21,21 @@ from merchlake.session import stored
 
 # Distinct values of a bin that one task may sort.
 FEW = 100_000
+# Wanted ranks that are broadcast without a look at their bytes.
+FEW_ROWS = 100_000
 STEPS_PER_DOUBLING = 256
 FINER = 4096
 PREFIX = 2
 
 
-def bin_of(value: Column | str) -> Column:
-    """A whole number that never falls as a number rises; about 0.3 % wide. NaN is above all, NULL stays NULL."""
-    v = (F.col(value) if isinstance(value, str) else value).cast("double")
-    place = F.floor(F.log2(F.abs(v)) * STEPS_PER_DOUBLING) + F.lit(300_000)
-    edge = F.lit(1_000_000)
-    inside = F.when(v == 0, F.lit(0)).when(v > 0, place).otherwise(-place)
-    return (
-        F.when(F.isnan(v), edge + 1).when(v == float("inf"), edge).when(v == float("-inf"), -edge).when(v.isNotNull(), inside)
-    ).cast("long")
+def bin_of(value: str) -> Column:
+    """A whole number that never falls as the number in a column rises; about 0.3 % wide. NaN is above all, NULL stays NULL."""
+    v = f"CAST(`{value}` AS DOUBLE)"
+    place = f"(floor(log2(abs({v})) * {STEPS_PER_DOUBLING}) + 300000)"
+    return F.expr(
+        f"CAST(CASE WHEN isnan({v}) THEN 1000001 WHEN {v} = double('inf') THEN 1000000 WHEN {v} = double('-inf') THEN -1000000 "
+        f"WHEN {v} = 0 THEN 0 WHEN {v} > 0 THEN {place} WHEN {v} < 0 THEN -{place} END AS BIGINT)"
+    )
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", few: bool = False) -> DataFrame:
@@ -43,27 +45,35 @@ def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "i
     return left.join(F.broadcast(other) if few else checked_broadcast(other), on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+class Bins(NamedTuple):
+    """Counts of `bin_of(value)`: a table (slot, _bin, _n), and the largest count in it."""
+
+    table: DataFrame
+    largest: int
+
+
 def at_ranks(
     rows: DataFrame,
     slot: Sequence[str],
     value: str,
     wanted: DataFrame,
     weight: str | None = None,
-    bins: DataFrame | None = None,
+    bins: Bins | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """slot, rank, value, before, n_equal: the row of each wanted 0-based rank, and how many rows of its slot are less or equal to it.
 
-    `wanted` holds slot columns and `rank`, a few rows a slot. `value` is a
-    number or text and not NULL (NULL rows have to be left out, or counted
-    elsewhere); `weight` tells how many rows a row stands for. `bins` may give
-    the counts of `bin_of(value)` (slot, _bin, _n) where they are known already.
-    Ranks beyond the slot give no row.
+    `wanted` holds slot columns and `rank`, a few rows a slot; `few` says that it
+    is small as a whole. `value` is a number or text; rows without one are left
+    out. `weight` tells how many rows a row stands for. `bins` may give the counts
+    of `bin_of(value)` where they are known already. Ranks beyond the slot give no
+    row.
     """
     spoken = isinstance(rows.schema[value].dataType, StringType)
     one = F.col(weight) if weight else F.lit(1)
     known = rows.where(F.col(value).isNotNull()).select(*slot, F.col(value).alias("_v"), one.cast("long").alias("_n"))
     first = F.substring("_v", 1, PREFIX) if spoken else bin_of("_v")
-    found = _search(known.withColumn("_bin", first), list(slot), wanted.select(*slot, "rank"), spoken, 1, bins)
+    found = _search(known.withColumn("_bin", first), list(slot), wanted.select(*slot, "rank"), spoken, 1, bins, few)
     return found.select(*slot, "rank", F.col("_v").alias(value), "before", "n_equal")
 
 
@@ -71,33 +81,37 @@ def _running(slot: Sequence[str], order: str) -> Column:
     return F.sum("_n").over(Window.partitionBy(*slot).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
 
 
-def _search(rows: DataFrame, slot: list[str], wanted: DataFrame, spoken: bool, level: int, bins: DataFrame | None) -> DataFrame:
+def _search(rows: DataFrame, slot: list[str], wanted: DataFrame, spoken: bool, level: int, bins: Bins | None, few: bool) -> DataFrame:
     """`at_ranks` over (slot, _bin, _v, _n); calls itself for bins with many distinct values."""
     if bins is None:
-        bins = stored(rows.groupBy(*slot, "_bin").agg(F.sum("_n").alias("_n")), "bins")
+        seen = Observation()
+        counts = rows.groupBy(*slot, "_bin").agg(F.sum("_n").alias("_n"))
+        table = stored(counts.observe(seen, F.max("_n").alias("largest")), "bins")
+        bins = Bins(table, seen.get["largest"] or 0)
     upto = _running(slot, "_bin")
-    ranges = bins.select(*slot, "_bin", (upto - F.col("_n")).alias("_from"), upto.alias("_to"))
-    aims = _match(ranges, wanted, slot).where((F.col("rank") >= F.col("_from")) & (F.col("rank") < F.col("_to")))
-    # Stored, so that their true size decides on the broadcast.
-    aims = stored(aims.select(*slot, "_bin", "rank", "_from"), "aims")
+    ranges = bins.table.select(*slot, "_bin", (upto - F.col("_n")).alias("_from"), upto.alias("_to"))
+    aims = _match(ranges, wanted, slot, few=few).where((F.col("rank") >= F.col("_from")) & (F.col("rank") < F.col("_to")))
+    aims = aims.select(*slot, "_bin", "rank", "_from")
+    if not few:  # stored, so that their true size decides on the broadcast
+        aims = stored(aims, "aims")
     own = [*slot, "_bin"]
-    found = Observation()
-    cells = _match(rows, aims.select(*own).distinct(), own).groupBy(*own, "_v").agg(F.sum("_n").alias("_n"))
-    cells = stored(cells.observe(found, F.count(F.lit(1)).alias("n")), "cells")
+    cells = _match(rows, aims.select(*own).distinct(), own, few=few).groupBy(*own, "_v").agg(F.sum("_n").alias("_n"))
     split = False
-    if found.get["n"] > FEW:
-        kind = "string" if spoken else "double"
-        low, high = (f(F.col("_v").cast(kind)) for f in (F.min, F.max))
+    if bins.largest > FEW:  # else no bin has too many values
+        low, high = (f(F.col("_v").cast("string" if spoken else "double")) for f in (F.min, F.max))
+        cells = stored(cells, "cells")
         sizes = cells.groupBy(*own).agg(F.count(F.lit(1)).alias("_size"), low.alias("_low"), high.alias("_high"))
         # A bin whose ends are one number, or one text, cannot be parted further.
         many = (F.col("_size") > FEW) & (F.col("_low") < F.col("_high"))
-        sizes = stored(sizes.withColumn("_many", F.coalesce(many, F.lit(False))).drop("_size"), "sizes")
-        split = bool(sizes.where("_many").limit(1).count())
+        seen = Observation()
+        sizes = sizes.withColumn("_many", F.coalesce(many, F.lit(False))).drop("_size")
+        sizes = stored(sizes.observe(seen, F.max("_many").alias("many")), "sizes")
+        split = bool(seen.get["many"])
     plain = _match(cells, sizes.where("NOT _many").select(*own), own) if split else cells
     upto = _running(own, "_v")
     ranked = plain.select(*own, "_v", (upto - F.col("_n")).alias("_inner"), F.col("_n").alias("_w"))
     inside = F.col("rank") - F.col("_from")
-    hit = _match(ranked, aims, own).where((inside >= F.col("_inner")) & (inside < F.col("_inner") + F.col("_w")))
+    hit = _match(ranked, aims, own, few=few).where((inside >= F.col("_inner")) & (inside < F.col("_inner") + F.col("_w")))
     found = hit.select(*slot, "rank", "_v", (F.col("_from") + F.col("_inner")).alias("before"), F.col("_w").alias("n_equal"))
     if not split:
         return found
@@ -113,7 +127,7 @@ def _search(rows: DataFrame, slot: list[str], wanted: DataFrame, spoken: bool, l
         finer = F.floor(share * FINER)
     rest = rest.withColumn("_bin", finer).drop("_low", "_high")
     aims = _match(aims, large.select(*own), own).withColumnsRenamed(parted)
-    below = _search(rest, deeper, aims.select(*deeper, (F.col("rank") - F.col("_from")).alias("rank")), spoken, level + 1, None)
+    below = _search(rest, deeper, aims.select(*deeper, (F.col("rank") - F.col("_from")).alias("rank")), spoken, level + 1, None, few)
     back = _match(below, aims.select(*deeper, F.col("rank").alias("_rank"), "_from"), deeper).where(
         F.col("rank") == F.col("_rank") - F.col("_from")
     )
@@ -144,30 +158,30 @@ def with_percentiles(
     both = binned.groupingSets(sets, *group, "_bin").agg(
         *aggs, F.count(value).alias("_n"), F.grouping("_bin").alias("_whole")
     )
-    both = stored(both, "bins")
+    seen, sub = Observation(), F.col("_whole") == 0
+    both = stored(both.observe(seen, F.max(F.when(sub, F.col("_n"))).alias("largest"), F.count(F.when(~sub, 1)).alias("groups")), "bins")
+    few = seen.get["groups"] * 2 * len(probs) <= FEW_ROWS
     bins = both.where((F.col("_whole") == 0) & (F.col("_n") > 0)).select(*group, "_bin", "_n")
     groups = both.where("_whole = 1").drop("_bin", "_whole")
     spots = []
     for i, p in enumerate(probs.values()):
-        spot = F.lit(float(p)) * (F.col("_n") - 1)
         # A spot within 1e-9 of a whole rank is that rank.
-        low = F.floor(spot + F.lit(1e-9))
-        part = F.when(spot - low > 1e-9, spot - low).otherwise(F.lit(0.0))
-        spots.append(F.struct(F.lit(i).alias("i"), low.alias("low"), (low + F.ceil(part)).alias("high"), part.alias("part")))
-    places = groups.where("_n > 0").select(*group, F.inline(F.array(*spots)))
-    wanted = places.select(*group, F.explode(F.array("low", "high")).alias("rank")).distinct()
-    at = at_ranks(rows.select(*group, F.col(value).cast("double").alias("_value")), group, "_value", wanted, bins=bins)
-    hit = _match(places, at, group).where((F.col("rank") == F.col("low")) | (F.col("rank") == F.col("high")))
-
-    def picked(i: int) -> Column:
-        mine = F.col("i") == i
-        low = F.max(F.when(mine & (F.col("rank") == F.col("low")), F.col("_value")))
-        high = F.max(F.when(mine & (F.col("rank") == F.col("high")), F.col("_value")))
-        part = F.max(F.when(mine, F.col("part")))
-        return low + (high - low) * part
-
-    values = hit.groupBy(*group).agg(*[picked(i).alias(name) for i, name in enumerate(probs)])
-    return _match(groups.drop("_n"), values, group, "left")
+        spot = f"({float(p)!r}D * (_n - 1))"
+        low, apart = f"floor({spot} + 1e-9D)", f"({spot} - floor({spot} + 1e-9D))"
+        part = f"IF({apart} > 1e-9D, {apart}, 0D)"
+        spots.append(f"named_struct('i', {i}, 'low', {low}, 'high', {low} + CAST(ceil({part}) AS BIGINT), 'part', {part})")
+    places = groups.where("_n > 0").select(*group, F.expr(f"inline(array({', '.join(spots)}))"))
+    wanted = places.select(*group, F.expr("explode(array(low, high)) AS rank")).distinct()
+    given = Bins(bins, seen.get["largest"] or 0)
+    at = at_ranks(rows.select(*group, F.col(value).cast("double").alias("_value")), group, "_value", wanted, bins=given, few=few)
+    hit = _match(at, places, group, few=few).where("rank = low OR rank = high")
+    sides = [
+        f"max(IF(i = {i} AND rank = low, _value, NULL)) AS _low{i}, max(IF(i = {i} AND rank = high, _value, NULL)) AS _high{i}, "
+        f"max(IF(i = {i}, part, NULL)) AS _part{i}".split(", max") for i in range(len(probs))
+    ]
+    picked = hit.groupBy(*group).agg(*[F.expr(x if x.startswith("max") else f"max{x}") for side in sides for x in side])
+    values = picked.select(*group, *[F.expr(f"_low{i} + (_high{i} - _low{i}) * _part{i}").alias(n) for i, n in enumerate(probs)])
+    return _match(groups.drop("_n"), values, group, "left", few=few)
 
 
 def tiles_of(rows: DataFrame, orderings: dict[str, Column], key: str, tiles: int) -> DataFrame:
@@ -192,7 +206,7 @@ def tiles_of(rows: DataFrame, orderings: dict[str, Column], key: str, tiles: int
     )
     spark = rows.sparkSession
     wanted = spark.createDataFrame([(c, s) for c in names for s in starts], "ordering STRING, rank LONG")
-    values = at_ranks(long, ["ordering"], "v", wanted).collect()  # tiles - 1 an ordering
+    values = at_ranks(long, ["ordering"], "v", wanted, few=True).collect()  # tiles - 1 an ordering
     inner = spark.createDataFrame(
         sorted({(r["ordering"], r["v"], r["rank"] - r["before"]) for r in values}), "ordering STRING, v DOUBLE, rank LONG"
     )
@@ -201,7 +215,7 @@ def tiles_of(rows: DataFrame, orderings: dict[str, Column], key: str, tiles: int
         place = F.row_number().over(Window.partitionBy("ordering", "v").orderBy("_key")) - 1
         keys = _match(tied.withColumn("rank", place.cast("long")), inner, ["ordering", "v", "rank"], few=True)
     else:
-        keys = at_ranks(tied, ["ordering", "v"], "_key", inner)
+        keys = at_ranks(tied, ["ordering", "v"], "_key", inner, few=True)
     borders = keys.groupBy("ordering").agg(F.collect_list(F.struct("v", "_key")).alias("_b")).collect()
     kind = rows.schema[key].dataType
     out = {}

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlake.functions.joins import BROADCAST_LIMIT, small_enough, spread_join
-from merchlake.functions.ordering import neighbours
+from merchlake.functions.ordering import PIECE, cut_into_ranges, neighbours
 from merchlake.functions.scalars import OPEN_END, fingerprint
 
 TRACKED = ["email", "city", "country", "phone"]
@@ -150,19 +150,68 @@ def scd2_problems(dim: DataFrame, key: str, pieces: int | None = None) -> DataFr
     return report.where((F.col("open_versions") != 1) | (F.col("overlaps") > 0))
 
 
+# Versions of a key up to which a broadcast join looks through all of them for each fact.
+FEW_VERSIONS = 100
+
+
 def point_in_time_join(
     facts: DataFrame,
     dim: DataFrame,
     key: str,
     moment: str,
     attributes: Sequence[str],
+    limit: int = BROADCAST_LIMIT,
+    size: int | None = None,
+    pieces: int | None = None,
     **join,
 ) -> DataFrame:
-    """Each fact with the dimension version that was valid at its own time (left join)."""
-    versions = dim.select(key, *attributes, "valid_from", "valid_to")
-    valid = (F.col(moment) >= F.col("valid_from")) & (F.col(moment) < F.col("valid_to"))
-    joined = spread_join(facts, versions, key, "left", condition=valid, **join)
-    return joined.drop("valid_from", "valid_to")
+    """Each fact with the dimension version that was valid at its own time (left join).
+
+    The versions of a key must not overlap (see `scd2_problems`). Where no key has
+    more than FEW_VERSIONS of them, facts are joined to the versions of their key
+    (`spread_join`; `size` is a known bound of the dimension's bytes). Else
+    versions are carried along (`carry_versions`), so that no fact is paired with
+    all versions of a key.
+    """
+    versions = dim.select(key, *attributes, "valid_from", "valid_to").where(F.col(key).isNotNull())
+    most = versions.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if most <= FEW_VERSIONS:
+        valid = (F.col(moment) >= F.col("valid_from")) & (F.col(moment) < F.col("valid_to"))
+        joined = spread_join(facts, versions, key, "left", condition=valid, limit=limit, size=size, **join)
+        return joined.drop("valid_from", "valid_to")
+    return carry_versions(facts, versions, key, moment, attributes, pieces)
+
+
+def carry_versions(
+    facts: DataFrame, versions: DataFrame, key: str, moment: str, attributes: Sequence[str], pieces: int | None = None
+) -> DataFrame:
+    """`point_in_time_join` for keys of any weight: linear in facts plus versions.
+
+    Facts and versions are put in one order of key and time and cut into ranges,
+    so a key may span many tasks. Inside a range a fact takes the last version
+    before it; the last versions of the ranges before, one row per key and range,
+    are carried over for the facts that stand before the range's first version.
+    """
+    row = F.struct(*[F.col(c) for c in (*attributes, "valid_to")])
+    fact = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    both = versions.select(F.col(key).alias("_k"), F.col("valid_from").cast("timestamp").alias("_t"), F.lit(0).alias("_kind"), row.alias("_version")).unionByName(
+        facts.select(F.col(key).alias("_k"), F.col(moment).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"), fact.alias("_fact")),
+        allowMissingColumns=True,
+    )
+    cut = cut_into_ranges(both, ["_k"], ["_t", "_kind"], pieces)
+    inside = Window.partitionBy("_k", PIECE).orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    seen = cut.withColumn("_seen", F.last("_version", ignorenulls=True).over(inside)).where("_kind = 1")
+    ends = cut.where("_kind = 0").groupBy("_k", PIECE).agg(F.max_by("_version", "_t").alias("_end"))
+    # One row for each range that a key has facts in, so that ranges without versions hand on what came before.
+    spans = cut.groupBy("_k", PIECE).agg(F.count(F.lit(1)).alias("_n")).join(ends, ["_k", PIECE], "left")
+    before = Window.partitionBy("_k").orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = spans.select(
+        F.col("_k").alias("_ck"), F.col(PIECE).alias("_cp"), F.last("_end", ignorenulls=True).over(before).alias("_carried")
+    ).where("_carried IS NOT NULL")
+    joined = seen.join(carried, (F.col("_k") == F.col("_ck")) & (F.col(PIECE) == F.col("_cp")), "left")
+    version = F.coalesce("_seen", "_carried")
+    valid = F.col("_t") < version["valid_to"]
+    return joined.select("_fact.*", *[F.when(valid, version[a]).alias(a) for a in attributes])
 
 
 def enrich(facts: DataFrame, reference: DataFrame, on: dict[str, str], limit: int = BROADCAST_LIMIT) -> DataFrame:

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchlake.functions.joins import BROADCAST_LIMIT, spread_join
 from merchlake.functions.scalars import words
+from merchlake.session import stored
 
 # Phrases that mark a refusal; pass the exact wording of the assistant at hand.
 REFUSALS = ("only help with", "cannot help")
@@ -85,6 +87,38 @@ def overlap_score(answer: Column, expected: Column) -> Column:
     return F.size(F.array_intersect(want, have)) / F.nullif(F.size(want), F.lit(0))
 
 
+def cosine_scores(
+    results: DataFrame, key: Sequence[str], answer: str, expected: str, name: str = "cosine", limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """`results` with the cosine of answer and expected text over their words, weighted by rarity.
+
+    A word weighs its count in the text times ln((1 + n) / (1 + m)) + 1, where m
+    of the n texts (answers and expected ones together) hold it. Both texts of a
+    row share one row a word, so words are joined to their weights once, and the
+    products are summed by key. NULL where one of the texts has no word. `key`
+    must be unique and not NULL.
+    """
+    sides = [
+        results.select(*key, F.explode(words(F.lower(F.col(text)))).alias("_word"), F.lit(mine).alias("_a"), F.lit(1 - mine).alias("_e"))
+        for text, mine in ((answer, 1), (expected, 0))
+    ]
+    counts = sides[0].unionByName(sides[1]).groupBy(*key, "_word").agg(F.sum("_a").alias("_a"), F.sum("_e").alias("_e"))
+    counts = stored(counts, "words")
+    texts = results.agg(F.count(answer) + F.count(expected)).first()[0]
+    held = F.sum((F.col("_a") > 0).cast("int") + (F.col("_e") > 0).cast("int"))
+    weights = counts.groupBy("_word").agg((F.log((1.0 + texts) / (1 + held)) + 1).alias("_w"))
+    weighed = spread_join(counts, weights, "_word", "inner", limit=limit, aggregated=True)
+    square = F.col("_w") * F.col("_w")
+    sums = weighed.groupBy(*[F.col(k).alias(f"_key_{k}") for k in key]).agg(
+        F.sum(F.col("_a") * F.col("_e") * square).alias("_dot"),
+        F.sum(F.col("_a") * F.col("_a") * square).alias("_aa"),
+        F.sum(F.col("_e") * F.col("_e") * square).alias("_ee"),
+    )
+    cosine = F.col("_dot") / F.nullif(F.sqrt(F.col("_aa")) * F.sqrt(F.col("_ee")), F.lit(0.0))
+    matched = results.join(sums, [F.col(k) == F.col(f"_key_{k}") for k in key], "left")
+    return matched.select(*results.columns, cosine.alias(name))
+
+
 def disagreements(results: DataFrame, rule: str, judge: str, limit: float = 0.5) -> DataFrame:
     """Rows whose two scores are further apart than the limit."""
     return results.withColumn("disagrees", F.abs(F.col(rule) - F.col(judge)) > limit)

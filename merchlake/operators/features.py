@@ -1,17 +1,20 @@
 """Time-series features over daily tables.
 
 A daily table holds one row per day (and series), so a window over one series
-is short however many orders lie behind it.
+is short however many orders lie behind it. Series of any length are handled
+with `spread=True`: they are cut into ranges that each know the rows just before
+them, so one series may span all tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from merchlake.functions.ordering import HALO, PIECE, with_halo
 from merchlake.functions.scalars import in_period, money, ratio
 
 # The model's feature set.
@@ -36,6 +39,15 @@ def _series(series: Sequence[str], day: str):
     return Window.partitionBy(*series).orderBy(day)
 
 
+def _framed(daily: DataFrame, columns: Callable, reach: int, day: str, series: Sequence[str], spread: bool, pieces: int | None):
+    """Columns over frames that reach back at most `reach` rows; `columns` makes them from a window."""
+    if not spread:
+        return daily.withColumns(columns(_series(series, day)))
+    cut = with_halo(daily, list(series), [day], reach, pieces)
+    inside = Window.partitionBy(*series, PIECE).orderBy(day)
+    return cut.withColumns(columns(inside)).where(~F.col(HALO)).drop(PIECE, HALO)
+
+
 def revenue_anomalies(
     daily: DataFrame,
     period: str,
@@ -44,14 +56,17 @@ def revenue_anomalies(
     value: str = "total_revenue",
     day: str = "order_date",
     series: Sequence[str] = (),
+    spread: bool = False,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Days of the period whose value is more than threshold_pct below the trailing 14-row mean.
 
     The mean includes the day itself and is taken over the whole table; the
     period only filters afterwards.
     """
-    trailing = F.avg(value).over(_series(series, day).rowsBetween(-13, 0))
-    with_mean = daily.select(*series, day, value, trailing.alias("_mean"))
+    with_mean = _framed(
+        daily.select(*series, day, value), lambda w: {"_mean": F.avg(value).over(w.rowsBetween(-13, 0))}, 13, day, series, spread, pieces
+    )
     low = F.col(value) < F.col("_mean") * F.lit(1 - threshold_pct / 100.0)
     return (
         with_mean.where(in_period(day, period, as_of) & low)
@@ -66,29 +81,39 @@ def revenue_anomalies(
     )
 
 
+def _lag_columns(value: str, lags: Sequence[int]) -> Callable:
+    return lambda w: {f"lag_{k}": F.lag(value, k).over(w) for k in lags}
+
+
+def _rolling_columns(value: str, sizes: Sequence[int]) -> Callable:
+    def columns(w) -> dict[str, Column]:
+        frames = {n: w.rowsBetween(-n, -1) for n in sizes}
+        return {
+            f"rolling_mean_{n}": F.when(F.count(value).over(f) == n, F.avg(value).over(f)) for n, f in frames.items()
+        }
+
+    return columns
+
+
 def with_lags(daily: DataFrame, value: str, day: str = "order_date", series: Sequence[str] = (),
-              lags: Sequence[int] = LAGS) -> DataFrame:
+              lags: Sequence[int] = LAGS, spread: bool = False, pieces: int | None = None) -> DataFrame:
     """Values k rows (not calendar days) earlier."""
-    w = _series(series, day)
-    return daily.withColumns({f"lag_{k}": F.lag(value, k).over(w) for k in lags})
+    return _framed(daily, _lag_columns(value, lags), max(lags), day, series, spread, pieces)
 
 
 def with_rolling(daily: DataFrame, value: str, day: str = "order_date", series: Sequence[str] = (),
-                 sizes: Sequence[int] = ROLLING) -> DataFrame:
+                 sizes: Sequence[int] = ROLLING, spread: bool = False, pieces: int | None = None) -> DataFrame:
     """Means of the n rows before each row, the row itself left out; NULL until n such values exist."""
-    w = _series(series, day)
-    columns = {}
-    for n in sizes:
-        frame = w.rowsBetween(-n, -1)
-        columns[f"rolling_mean_{n}"] = F.when(F.count(value).over(frame) == n, F.avg(value).over(frame))
-    return daily.withColumns(columns)
+    return _framed(daily, _rolling_columns(value, sizes), max(sizes), day, series, spread, pieces)
 
 
 def forecast_features(daily: DataFrame, value: str = "net_revenue", day: str = "order_date",
-                      series: Sequence[str] = ()) -> DataFrame:
+                      series: Sequence[str] = (), spread: bool = False, pieces: int | None = None) -> DataFrame:
     """Calendar, lags and rolling means; rows with any gap are dropped."""
-    base = daily.select(*series, day, value).withColumns(calendar(day))
-    return with_rolling(with_lags(base, value, day, series), value, day, series).dropna()
+    lags, rolling = _lag_columns(value, LAGS), _rolling_columns(value, ROLLING)
+    base = daily.select(*series, day, value)
+    framed = _framed(base, lambda w: {**lags(w), **rolling(w)}, max(*LAGS, *ROLLING), day, series, spread, pieces)
+    return framed.withColumns(calendar(day)).select(*series, day, value, *FEATURES).dropna()
 
 
 def time_split(features: DataFrame, day: str = "order_date", test_share: float = 0.2,

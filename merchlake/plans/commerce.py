@@ -821,9 +821,7 @@ def large_orders_by_country(spark, sf):
     return metrics.large_orders_by_country(lake.orders, lake.customers, 200.0, 30, lake.as_of)
 
 
-@query(
-    "business_summary",
-    f"""SELECT 'revenue' AS section, 'total_revenue' AS key, {rounded("sum(total_revenue)")} AS value
+SUMMARY_SQL = f"""SELECT 'revenue' AS section, 'total_revenue' AS key, {rounded("sum(total_revenue)")} AS value
         FROM revenue_served WHERE order_date >= {_START["last 30 days"]}
         UNION ALL SELECT 'revenue', 'orders', CAST(sum(order_count) AS DOUBLE)
         FROM revenue_served WHERE order_date >= {_START["last 30 days"]}
@@ -831,11 +829,16 @@ def large_orders_by_country(spark, sf):
         FROM revenue_served WHERE order_date >= {_START["last 30 days"]}
         UNION ALL SELECT 'top_products', product_name, revenue_eur
         FROM (SELECT * FROM best_products ORDER BY revenue_eur DESC, product_name LIMIT 5)
-        UNION ALL SELECT 'alerts', name, value FROM kpi_alerts WHERE fired""",
-)
-def business_summary(spark, sf):
-    lake = Lake(spark, sf)
-    alerts = metrics.fired_alerts(metrics.kpi_values(lake.serving, lake.as_of), _rules(spark))
+        UNION ALL SELECT 'alerts', name, value FROM kpi_alerts WHERE fired"""
+
+
+def summary(lake: Lake, forecast: DataFrame | None = None) -> DataFrame:
+    alerts = metrics.fired_alerts(metrics.kpi_values(lake.serving, lake.as_of), _rules(lake.spark))
     return metrics.business_summary(
-        lake.serving["revenue_daily"], lake.product_days, alerts, None, "last 30 days", lake.as_of
+        lake.serving["revenue_daily"], lake.product_days, alerts, forecast, "last 30 days", lake.as_of
     )
+
+
+@query("business_summary", SUMMARY_SQL)
+def business_summary(spark, sf):
+    return summary(Lake(spark, sf))

@@ -6,6 +6,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from merchlake.functions.ordering import neighbours
+from merchlake.functions.scalars import OPEN_END
 from merchlake.operators import dims, quality
 from merchlake.plans.commerce import Lake, _today
 from merchlake.plans.registry import CTES, moment, query, rounded
@@ -143,6 +145,33 @@ def orders_with_valid_customer_version(spark, sf):
     )
 
 
+# Every order line is a price notice of its part: the newest notice before an order gives the price then known.
+CTES["price_notices"] = """
+    SELECT l_suppkey % 3 AS region_key, l_shipdate, max(l_extendedprice) AS price FROM lineitem GROUP BY 1, 2"""
+
+
+@query(
+    "orders_with_price_then_known",
+    f"""SELECT o_orderkey, o.region_key, {rounded("price")} AS price
+        FROM (SELECT o_orderkey, o_orderdate, o_custkey % 4 AS region_key FROM orders) o
+        ASOF LEFT JOIN price_notices n ON o.region_key = n.region_key AND o.o_orderdate >= n.l_shipdate""",
+)
+def orders_with_price_then_known(spark, sf):
+    """Three keys hold all versions, one for each day: no order may meet all versions of its key."""
+    lines = testdata.table(spark, sf, "lineitem")
+    notices = lines.groupBy((F.col("l_suppkey") % 3).alias("region_key"), F.col("l_shipdate").cast("timestamp").alias("valid_from")).agg(
+        F.max("l_extendedprice").alias("price")
+    )
+    # A notice holds until the next; their order inside a key is found range by range.
+    dated = neighbours(notices, ["region_key"], ["valid_from"], following={"valid_to": "valid_from"})
+    dated = dated.withColumn("valid_to", F.coalesce("valid_to", F.lit(OPEN_END).cast("timestamp")))
+    orders = testdata.table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_custkey") % 4).alias("region_key"), F.col("o_orderdate").cast("timestamp").alias("at")
+    )
+    joined = dims.point_in_time_join(orders, dated, "region_key", "at", ["price"])
+    return joined.select("o_orderkey", "region_key", F.round(F.round("price", 6), 2).alias("price"))
+
+
 @query(
     "revenue_by_named_region",
     f"""SELECT n_name AS country, r_name AS region, count(*) AS n, {rounded("sum(o_totalprice)")} AS total

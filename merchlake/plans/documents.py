@@ -7,9 +7,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from merchlake.functions.joins import checked_broadcast
-from merchlake.functions.scalars import words
+from merchlake.functions.scalars import money, words
 from merchlake.operators import evaluation, retrieval, text
-from merchlake.plans.registry import CTES, query
+from merchlake.plans.registry import CTES, query, rounded
 from merchlake.session import scratch_path
 from merchlake.sources import testdata
 
@@ -379,21 +379,40 @@ def scenario_report(spark, sf):
     return evaluation.layer_report(_scenarios(spark, sf))
 
 
+CTES["answer_words"] = r"""
+    SELECT conv_id, turn, word, sum(a) AS a, sum(e) AS e FROM (
+      SELECT conv_id, turn, unnest(list_filter(regexp_split_to_array(lower(answer), '\s+'), lambda w: w <> '')) AS word, 1 AS a, 0 AS e FROM answered
+      UNION ALL
+      SELECT conv_id, turn, unnest(list_filter(regexp_split_to_array(lower(question), '\s+'), lambda w: w <> '')), 0, 1 FROM answered)
+    GROUP BY ALL"""
+CTES["answer_cosines"] = """
+    SELECT conv_id, turn, sum(a * e * w * w) / nullif(sqrt(sum(a * a * w * w)) * sqrt(sum(e * e * w * w)), 0) AS cosine
+    FROM answer_words JOIN (
+      SELECT word, ln((1.0 + (SELECT count(answer) + count(question) FROM answered))
+                      / (1 + count(CASE WHEN a > 0 THEN 1 END) + count(CASE WHEN e > 0 THEN 1 END))) + 1 AS w
+      FROM answer_words GROUP BY word) USING (word)
+    GROUP BY 1, 2"""
+
+
 @query(
     "score_disagreements",
-    r"""SELECT conv_id, turn, round(overlap, 4) AS overlap, abs(overlap - judge_score) > 0.5 AS disagrees
+    rf"""SELECT conv_id, turn, round(overlap, 4) AS overlap, {rounded("cosine", 4)} AS cosine,
+               abs(overlap - judge_score) > 0.5 AS disagrees, abs(cosine - judge_score) > 0.5 AS cosine_disagrees
         FROM (SELECT *, len(list_intersect(q, a)) * 1.0 / nullif(len(q), 0) AS overlap FROM (
           SELECT conv_id, turn, judge_score,
                  list_distinct(list_filter(regexp_split_to_array(lower(question), '\s+'), lambda w: w <> '')) AS q,
                  list_distinct(list_filter(regexp_split_to_array(lower(answer), '\s+'), lambda w: w <> '')) AS a
-          FROM keyword_results))""",
+          FROM keyword_results)) LEFT JOIN answer_cosines USING (conv_id, turn)""",
 )
 def score_disagreements(spark, sf):
-    rows = _scored(spark, sf).withColumn(
-        "overlap", evaluation.overlap_score(F.col("answer"), F.col("question"))
-    )
-    return evaluation.disagreements(rows, "overlap", "judge_score").select(
-        "conv_id", "turn", F.round("overlap", 4).alias("overlap"), "disagrees"
+    """Two rule lanes against the judge: the share of the question's words, and the cosine of rarity-weighted words."""
+    rows = evaluation.cosine_scores(_scored(spark, sf), ["conv_id", "turn"], "answer", "question")
+    rows = rows.withColumn("overlap", evaluation.overlap_score(F.col("answer"), F.col("question")))
+    judged = evaluation.disagreements(rows, "overlap", "judge_score")
+    judged = evaluation.disagreements(judged.withColumnRenamed("disagrees", "_by_overlap"), "cosine", "judge_score")
+    return judged.select(
+        "conv_id", "turn", F.round("overlap", 4).alias("overlap"), money("cosine", 4).alias("cosine"),
+        F.col("_by_overlap").alias("disagrees"), F.col("disagrees").alias("cosine_disagrees"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from merchlake.functions.scalars import money
 from merchlake.operators import features, ml, quality, stats
-from merchlake.plans.commerce import _START, Lake, _today
+from merchlake.plans.commerce import _START, SUMMARY_SQL, Lake, _today, summary
 from merchlake.plans.registry import CTES, day, query, rounded
 from merchlake.sources import testdata
 
@@ -137,6 +137,58 @@ def forecast_error_of_last_week_value(spark, sf):
     return stats.regression_quality(rows, "net_revenue", "lag_7")
 
 
+@query(
+    "forecast_total_of_weekly_mean",
+    f"""SELECT 14 AS horizon_days, {rounded(f"14 * {rounded('list_avg(h[len(h) - 6 : len(h)])')}")} AS total_revenue
+        FROM (SELECT list(net_revenue ORDER BY order_date) AS h FROM day_series)""",
+)
+def forecast_total_of_weekly_mean(spark, sf):
+    """The total of a horizon forecast; the mean of the last week stands in for the model, so that SQL can follow."""
+    rows = features.horizon_features(_series(spark, sf), Lake(spark, sf).as_of.date(), 14)
+    return ml.forecast_total(rows.select("forecast_date", money("rolling_mean_7").alias("predicted_revenue")))
+
+
+@query("forecast_total_next_days")
+def forecast_total_next_days(spark, sf):
+    """The total of the trained model's forecast; trees have no SQL form."""
+    return ml.forecast_total(forecast_next_days(spark, sf))
+
+
+_ROLLED = ", ".join(
+    f"""CASE WHEN count(o_totalprice) OVER w{n} = {n} THEN avg(o_totalprice) OVER w{n} END AS mean_{n}""" for n in (7, 30)
+)
+
+
+@query(
+    "order_price_path",
+    f"""SELECT o_orderkey, lag_1, lag_14, {rounded("mean_7")} AS rolling_mean_7, {rounded("mean_30")} AS rolling_mean_30
+        FROM (SELECT o_orderkey, lag(o_totalprice, 1) OVER w AS lag_1, lag(o_totalprice, 14) OVER w AS lag_14, {_ROLLED} FROM orders
+              WINDOW w AS (ORDER BY o_orderkey), w7 AS (ORDER BY o_orderkey ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING),
+                     w30 AS (ORDER BY o_orderkey ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))""",
+)
+def order_price_path(spark, sf):
+    """All orders as one series, longer than a task should hold: ranges with the rows just before them."""
+    prices = testdata.table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    lagged = features.with_lags(prices, "o_totalprice", "o_orderkey", lags=(1, 14), spread=True)
+    rolled = features.with_rolling(lagged, "o_totalprice", "o_orderkey", sizes=(7, 30), spread=True)
+    return rolled.select("o_orderkey", "lag_1", "lag_14", money("rolling_mean_7").alias("rolling_mean_7"),
+                         money("rolling_mean_30").alias("rolling_mean_30"))
+
+
+@query(
+    "business_summary_with_forecast",
+    f"""{SUMMARY_SQL}
+        UNION ALL SELECT 'forecast', strftime(d, '%Y-%m-%d'), {rounded("list_avg(h[len(h) - 6 : len(h)])")}
+        FROM (SELECT list(net_revenue ORDER BY order_date) AS h FROM day_series),
+             (SELECT CAST({_today()} + to_days(CAST(i AS INTEGER)) AS DATE) AS d FROM range(1, 8) r(i))""",
+)
+def business_summary_with_forecast(spark, sf):
+    """All sections of the summary; the mean of the last week stands in for the model, so that SQL can follow."""
+    lake = Lake(spark, sf)
+    rows = features.horizon_features(_series(spark, sf), lake.as_of.date(), 7)
+    return summary(lake, rows.select("forecast_date", money("rolling_mean_7").alias("predicted_revenue")))
+
+
 # --- churn ------------------------------------------------------------------
 
 CTES["churn_rows"] = """
