@@ -10,9 +10,9 @@ from merchlake.functions.ordering import neighbours
 from merchlake.functions.scalars import OPEN_END
 from merchlake.operators import dims, quality
 from merchlake.plans.commerce import Lake, _today
-from merchlake.plans.registry import CTES, moment, query, rounded
+from merchlake.plans.registry import CTES, day, moment, query, rounded
 from merchlake.session import scratch_path
-from merchlake.sources import files, schemas, snapshots, testdata
+from merchlake.sources import files, hashtree, periods, schemas, snapshots, testdata
 
 DAY_1 = datetime(1998, 1, 1)
 DAY_2 = datetime(1998, 7, 1)
@@ -270,9 +270,7 @@ def stored_order_split(spark, sf):
 # --- snapshots --------------------------------------------------------------
 
 
-@query(
-    "customer_change_feed",
-    """SELECT k.customer_id, CASE WHEN side = 'old' THEN f.email ELSE n.email END AS email,
+CHANGE_SQL = """SELECT k.customer_id, CASE WHEN side = 'old' THEN f.email ELSE n.email END AS email,
               CASE WHEN side = 'old' THEN f.city ELSE n.city END AS city,
               CASE WHEN n.customer_id IS NULL THEN 'delete' WHEN f.customer_id IS NULL THEN 'insert'
                    WHEN side = 'old' THEN 'update_preimage' ELSE 'update_postimage' END AS _change_type
@@ -282,8 +280,10 @@ def stored_order_split(spark, sf):
        JOIN (VALUES ('old'), ('new')) v(side)
          ON (side = 'old' AND f.customer_id IS NOT NULL) OR (side = 'new' AND n.customer_id IS NOT NULL)
        WHERE n.customer_id IS NULL OR f.customer_id IS NULL OR f.email IS DISTINCT FROM n.email
-          OR f.city IS DISTINCT FROM n.city""",
-)
+          OR f.city IS DISTINCT FROM n.city"""
+
+
+@query("customer_change_feed", CHANGE_SQL)
 def customer_change_feed(spark, sf):
     shown = ["customer_id", "email", "city"]
     return snapshots.changes(
@@ -292,6 +292,15 @@ def customer_change_feed(spark, sf):
     )
 
 
+@query("customer_changes_by_tree", CHANGE_SQL)
+def customer_changes_by_tree(spark, sf):
+    """The same changes between stored snapshots, read from the key ranges that differ."""
+    shown, paths = ["customer_id", "email", "city"], [scratch_path(spark, n) for n in ("before", "after")]
+    for path, rows in zip(paths, (testdata.customers_first(spark, sf), testdata.customers_next(spark, sf)), strict=True):
+        hashtree.write(rows.select(*shown), path, ["customer_id"], leaves=256, folders=16)
+    return hashtree.changes_between(spark, *paths, ["customer_id"], leaves=256, folders=16)
+
+
 @query(
     "schema_drift_append",
     """SELECT p_partkey AS product, p_name AS name, NULL AS channel FROM part
@@ -362,6 +371,28 @@ def retention_purge(spark, sf):
     return kept.agg(F.count(F.lit(1)).alias("kept"))
 
 
+@query(
+    "order_months_kept",
+    f"""SELECT o_orderkey, {day("m")} AS month, o_totalprice FROM (SELECT *, date_trunc('month', o_orderdate) AS m FROM orders)
+        WHERE m >= date_trunc('month', (SELECT max(o_orderdate) FROM orders) - INTERVAL 90 DAY)
+          AND (m <> date_trunc('month', (SELECT max(o_orderdate) FROM orders) - INTERVAL 40 DAY) OR o_orderkey % 2 = 0)""",
+)
+def order_months_kept(spark, sf):
+    """A table by month: a first load, late rows appended, one month replaced, months beyond 90 days dropped."""
+    table = scratch_path(spark, "order-months")
+    orders = testdata.table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", F.trunc("o_orderdate", "month").alias("month"), F.to_date("o_orderdate").alias("_day")
+    )
+    newest = orders.agg(F.max("_day")).first()[0]
+    late = F.col("o_orderkey") % 10 == 0
+    periods.append(orders.where(~late).drop("_day"), table, "month")
+    periods.append(orders.where(late).drop("_day"), table, "month")
+    redone = (newest - timedelta(days=40)).replace(day=1)
+    periods.replace(orders.where((F.col("month") == redone) & (F.col("o_orderkey") % 2 == 0)).drop("_day"), table, "month")
+    periods.purge(spark, table, "month", (newest - timedelta(days=90)).replace(day=1))
+    return spark.read.parquet(table).select("o_orderkey", "month", "o_totalprice")
+
+
 @query(
     "compacted_orders",
     """SELECT count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders""",
