@@ -158,34 +158,3 @@ def with_halo(df: DataFrame, group: Sequence[str], order: Sequence[str], before:
     last = F.slice("_reach", F.greatest(F.size("_reach") - before, F.lit(0)) + 1, before)
     halo = reach.select(PIECE, F.explode(F.transform(last, lambda x: x["row"])).alias("_row")).select("_row.*", PIECE)
     return cut.withColumn(HALO, F.lit(False)).unionByName(halo.withColumn(HALO, F.lit(True)))
-
-
-def ranked_percentiles(
-    ranked: DataFrame, group: Sequence[str], value: str, weight: str, probs: dict[str, float],
-    before: str = "_before", total: str = "_total",
-) -> DataFrame:
-    """Percentiles read off the result of `running_weight`."""
-
-    def covers(rank: Column) -> Column:
-        return (F.col(before) <= rank) & (rank < F.col(before) + F.col(weight))
-
-    columns = []
-    for name, p in probs.items():
-        # A spot within 1e-9 of a whole rank is that rank.
-        spot = F.lit(float(p)) * (F.col(total) - 1)
-        low = F.floor(spot + F.lit(1e-9))
-        part = F.when(spot - low > 1e-9, spot - low).otherwise(F.lit(0.0))
-        high = low + F.when(spot - low > 1e-9, F.lit(1)).otherwise(F.lit(0))
-        columns += [
-            F.max(F.when(covers(low), F.col(value))).alias(f"_{name}_low"),
-            F.max(F.when(covers(high), F.col(value))).alias(f"_{name}_high"),
-            F.max(part).alias(f"_{name}_part"),
-        ]
-    picked = ranked.groupBy(*group).agg(*columns)
-    return picked.select(
-        *group,
-        *[
-            (F.col(f"_{n}_low") + (F.col(f"_{n}_high") - F.col(f"_{n}_low")) * F.col(f"_{n}_part")).alias(n)
-            for n in probs
-        ],
-    )

@@ -8,8 +8,9 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from merchlake.functions.ordering import ranked_percentiles, running_weight
+from merchlake.functions.ordering import running_weight
 from merchlake.functions.scalars import money
+from merchlake.functions.selection import with_percentiles
 
 BINS = 10
 EMPTY_SHARE = 0.0001
@@ -81,40 +82,25 @@ def drift_windows(df: DataFrame, loaded: str, cutoff: date | datetime, as_of: da
     return df.withColumns({"is_baseline": base, "is_current": current}).where("is_baseline OR is_current")
 
 
-def population_stability(
-    windows: DataFrame, features: Sequence[str], bins: int = BINS, pieces: int | None = None
-) -> DataFrame:
+def population_stability(windows: DataFrame, features: Sequence[str], bins: int = BINS) -> DataFrame:
     """PSI and drift verdict per feature from rows marked by `drift_windows`.
 
     Bin edges are the baseline's interpolated percentiles, left-closed, with
-    the outer ones widened beyond both samples. Equal values of a feature are
-    merged before anything else, so later steps grow with distinct values only.
+    the outer ones widened beyond both samples. The edges are looked up from
+    counts (`selection.with_percentiles`) and the rows counted against them as
+    they lie: all features in one scan, no value is shuffled.
     """
-    long = windows.select(
-        "is_baseline", "is_current", *[F.col(f).cast("double").alias(f) for f in features]
-    ).unpivot(["is_baseline", "is_current"], list(features), "feature", "value")
-    merged = (
-        long.where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(
-            F.count(F.when(F.col("is_baseline"), 1)).alias("n_base"),
-            F.count(F.when(F.col("is_current"), 1)).alias("n_current"),
-        )
-    )
+    values = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
+    long = windows.select("is_baseline", "is_current", F.inline(F.array(*values))).where("value IS NOT NULL")
     names = {f"e{i}": i / bins for i in range(1, bins)}
-    # Edges and bins are both read off the ranked rows, which start at a
-    # checkpoint: the source itself is read once.
-    ranked = running_weight(
-        merged, ["feature"], ["value"], "n_base", before="_before", total="_total", pieces=pieces
-    )
-    edges = ranked_percentiles(ranked.where("n_base > 0"), ["feature"], "value", "n_base", names).select(
+    edges = with_percentiles(long.where("is_baseline"), ["feature"], "value", names).select(
         F.col("feature").alias("_feature"), F.array(*names).alias("_inner")
     )
     # One row per feature name of the call, hence safe to broadcast.
-    placed = ranked.join(F.broadcast(edges), F.col("feature") == F.col("_feature"), "left")
+    placed = long.join(F.broadcast(edges), F.col("feature") == F.col("_feature"), "left")
     bin_no = F.size(F.filter("_inner", lambda e: e <= F.col("value")))
     counts = placed.groupBy("feature", bin_no.alias("bin")).agg(
-        F.sum("n_base").alias("n_base"), F.sum("n_current").alias("n_current")
+        F.count(F.when(F.col("is_baseline"), 1)).alias("n_base"), F.count(F.when(F.col("is_current"), 1)).alias("n_current")
     )
     per_feature = counts.groupBy("feature").agg(
         F.sum("n_base").alias("baseline_rows"),

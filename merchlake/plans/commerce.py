@@ -11,18 +11,20 @@ from merchlake.functions.joins import estimated_bytes, spread_join
 from merchlake.operators import gold, metrics, quality
 from merchlake.plans.registry import CTES, day, moment, query, rounded
 from merchlake.session import scratch_path
-from merchlake.sources import testdata
+from merchlake.sources import files, testdata
 
 
-# Facts built by this process: (application, folder, name) -> path.
-_BUILT: dict[tuple[str, str, str], str] = {}
+# Facts built by this process: (application, folder, name) -> (state of the source files, path).
+_BUILT: dict[tuple[str, str, str], tuple[tuple, str]] = {}
+SOURCES = ("orders", "lineitem", "customer", "part")
 
 
 class Lake:
     """The commerce tables of one test-data folder, each built on first use.
 
-    Accepted orders and returns are written once per session and folder, below the
-    shared scratch folder, and read from there by everything that builds on them.
+    Accepted orders and returns are written once per session, folder and state of
+    its files, below the shared scratch folder, and read from there by everything
+    that builds on them.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -36,11 +38,13 @@ class Lake:
 
     def _fact(self, name: str, make) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _BUILT:
+        state = tuple(files.state(self.spark, f"{self.sf_dir.rstrip('/')}/{t}.parquet") for t in SOURCES)
+        built, path = _BUILT.get(key, (None, ""))
+        if built != state or not files.state(self.spark, path):
             path = scratch_path(self.spark, name)
             make().write.parquet(path)
-            _BUILT[key] = path
-        return self.spark.read.parquet(_BUILT[key])
+            _BUILT[key] = (state, path)
+        return self.spark.read.parquet(path)
 
     @property
     def as_of(self):

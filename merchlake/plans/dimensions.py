@@ -76,6 +76,27 @@ def scd2_integrity(spark, sf):
     return dims.scd2_problems(_second(spark, sf), "customer_id")
 
 
+CTES["faulty_versions"] = """
+    SELECT customer_id, is_current AND CAST(customer_id AS BIGINT) % 50 <> 2 AS is_current, valid_from, valid_to FROM dim_state
+    UNION ALL SELECT customer_id, TRUE, TIMESTAMP '2001-01-01', TIMESTAMP '9999-12-31' FROM dim_state
+    WHERE is_current AND CAST(customer_id AS BIGINT) % 50 = 1"""
+
+
+@query(
+    "scd2_integrity_with_faults",
+    """SELECT customer_id, count(CASE WHEN is_current THEN 1 END) AS open_versions, count(CASE WHEN next_from < valid_to THEN 1 END) AS overlaps
+       FROM (SELECT *, lead(valid_from) OVER (PARTITION BY customer_id ORDER BY valid_from, valid_to) AS next_from FROM faulty_versions)
+       GROUP BY 1 HAVING count(CASE WHEN is_current THEN 1 END) <> 1 OR count(CASE WHEN next_from < valid_to THEN 1 END) > 0""",
+)
+def scd2_integrity_with_faults(spark, sf):
+    """Some customers get a second open version that overlaps, others lose their open one."""
+    number = F.col("customer_id").cast("bigint") % 50
+    good = _second(spark, sf).select("customer_id", "is_current", "valid_from", "valid_to")
+    doubled = good.where(F.col("is_current") & (number == 1)).withColumn("valid_from", F.lit("2001-01-01").cast("timestamp"))
+    closed = good.withColumn("is_current", F.col("is_current") & (number != 2))
+    return dims.scd2_problems(closed.unionByName(doubled), "customer_id")
+
+
 CTES["order_changes"] = """
     SELECT CAST(o_custkey AS VARCHAR) AS customer_id, o_orderkey, o_orderpriority,
            o_orderdate AS changed_at FROM orders"""
@@ -463,3 +484,16 @@ def key_uniqueness_after_upsert(spark, sf):
     start = dims.scd1_start(testdata.products_first(spark, sf), DAY_1)
     merged = dims.scd1_apply(start, testdata.products_next(spark, sf), DAY_2)
     return quality.repeated_keys(merged, ["product_id"])
+
+
+@query(
+    "key_uniqueness_with_faults",
+    """SELECT product_id, 2 AS n_rows FROM (SELECT product_id FROM products_first UNION SELECT product_id FROM products_next)
+       WHERE CAST(product_id AS BIGINT) % 20 = 3""",
+)
+def key_uniqueness_with_faults(spark, sf):
+    """The merged table with some of its rows put in a second time."""
+    start = dims.scd1_start(testdata.products_first(spark, sf), DAY_1)
+    merged = dims.scd1_apply(start, testdata.products_next(spark, sf), DAY_2)
+    again = merged.where(F.col("product_id").cast("bigint") % 20 == 3)
+    return quality.repeated_keys(merged.unionByName(again), ["product_id"])

@@ -575,3 +575,22 @@ def vector_table_problems(spark, sf):
     chunks = _docs(spark, sf).select(F.col("doc_id").alias("chunk_id"))
     vectors = testdata.table(spark, sf, "embeddings").select(F.col("vec_id").alias("chunk_id"), "embedding")
     return retrieval.vector_problems(chunks, vectors)
+
+
+@query(
+    "vector_table_problems_with_faults",
+    """SELECT count(CASE WHEN v.vec_id IS NULL THEN 1 END) AS chunks_without_vector,
+              count(CASE WHEN d.doc_id IS NULL THEN 1 END) AS vectors_without_chunk,
+              count(CASE WHEN v.vec_id % 9 = 4 THEN 1 END) AS null_vectors,
+              count(CASE WHEN v.vec_id % 11 = 5 AND v.vec_id % 9 <> 4 THEN 1 END) AS zero_vectors,
+              min(CASE WHEN v.vec_id % 9 <> 4 THEN CASE WHEN v.vec_id % 11 = 5 THEN 3 ELSE len(embedding) END END) AS min_dims,
+              max(CASE WHEN v.vec_id % 9 <> 4 THEN CASE WHEN v.vec_id % 11 = 5 THEN 3 ELSE len(embedding) END END) AS max_dims
+       FROM documents d FULL JOIN embeddings v ON d.doc_id = v.vec_id""",
+)
+def vector_table_problems_with_faults(spark, sf):
+    """Some vectors taken away, some replaced by three zeros."""
+    chunks = _docs(spark, sf).select(F.col("doc_id").alias("chunk_id"))
+    zeros = F.array(*[F.lit(0.0).cast("float")] * 3)
+    faulty = F.when(F.col("vec_id") % 9 == 4, F.lit(None)).when(F.col("vec_id") % 11 == 5, zeros).otherwise(F.col("embedding"))
+    vectors = testdata.table(spark, sf, "embeddings").select(F.col("vec_id").alias("chunk_id"), faulty.alias("embedding"))
+    return retrieval.vector_problems(chunks, vectors)

@@ -21,12 +21,13 @@ CTES["order_messages"] = """
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broker messages made from the orders: every third one sent twice, some unreadable."""
     orders = testdata.table(spark, sf_dir, "orders")
+    n_parts = testdata.table(spark, sf_dir, "part").count()
     key = F.col("o_orderkey")
     body = F.to_json(
         F.struct(
             key.cast("string").alias("order_id"),
             F.col("o_custkey").cast("string").alias("customer_id"),
-            F.lit("p").alias("product_id"),
+            (key * 7 % (n_parts + n_parts // 10)).cast("string").alias("product_id"),
             F.lit(1).alias("quantity"),
             F.col("o_totalprice").alias("unit_price"),
             F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("order_ts"),
@@ -164,7 +165,8 @@ def stream_validated_daily_totals(spark, sf):
 
 @query(
     "stream_quality_split",
-    """SELECT o_custkey % 2 = 0 AND NOT broken AS accepted, count(*) AS n FROM order_messages GROUP BY 1""",
+    """SELECT o_custkey % 2 = 0 AND NOT broken AND o_orderkey * 7 % (SELECT count(*) + count(*) // 10 FROM part)
+              IN (SELECT p_partkey FROM part) AS accepted, count(*) AS n FROM order_messages GROUP BY 1""",
 )
 def stream_quality_split(spark, sf):
     good, bad, mark = (scratch_path(spark, n) for n in ("good", "bad", "mark"))
@@ -174,7 +176,7 @@ def stream_quality_split(spark, sf):
         return quality.check_orders(
             batch,
             known.select(F.col("c_custkey").cast("string").alias("customer_id")),
-            batch.select("product_id").distinct(),
+            testdata.table(batch.sparkSession, sf, "part").select(F.col("p_partkey").cast("string").alias("product_id")),
         ).drop("_failed_rules")
 
     rows = stream.parse_orders(stream.file_stream(spark, _feed(spark, sf), files_per_batch=2))

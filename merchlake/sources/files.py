@@ -105,3 +105,12 @@ def feed_options(servers: str, topic: str, group: str, extra: dict[str, str] | N
         "failOnDataLoss": "false",
         **(extra or {}),
     }
+
+
+def state(spark: SparkSession, path: str) -> tuple:
+    """Name, size and time of the files of a path (a file or a flat folder); empty where nothing is."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return ()
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(root)))

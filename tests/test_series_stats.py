@@ -109,7 +109,7 @@ def test_psi_equals_numpy(spark):
         data += [(side, not side, *[float(source[f][i]) for f in base], None if i > 8 else 1.0) for i in range(200)]
     schema = "is_baseline BOOLEAN, is_current BOOLEAN, same DOUBLE, shift DOUBLE, flat DOUBLE, lumpy DOUBLE, few DOUBLE"
     got = {r["feature"]: r for r in stats.population_stability(
-        spark.createDataFrame(data, schema), [*base, "few"], pieces=5).collect()}
+        spark.createDataFrame(data, schema), [*base, "few"]).collect()}
     for f in base:
         assert got[f]["psi"] == pytest.approx(psi(base[f], now[f]), abs=6e-5)
     assert got["same"]["drift"] == "none" and got["shift"]["drift"] == "high"
