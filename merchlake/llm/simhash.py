@@ -382,11 +382,13 @@ def without_near_copies(
     (0.6 of 128 for 0.8; missed by 8 in 10^8 at 0.8). The components of that are
     searched again, now with the shingle sets. Texts without words are copies of
     each other; NULL ids come last in a group; of rows equal in all columns one
-    stays.
+    stays. Columns are carried under names of our own, so theirs may be any.
     """
     names = docs.columns
-    mark = F.xxhash64(*[docs[c].cast("binary") if t == "string" else docs[c].cast("string") for c, t in docs.dtypes])
-    tagged = docs.withColumn("_row", mark)
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    values = [F.col(c).cast("binary") if t == "string" else F.col(c).cast("string") for c, t in docs.dtypes]
+    tagged = docs.withColumn("_row", F.xxhash64(*[x for v in values for x in (v.isNull(), v)]))
     described = kept(tagged.select("_row", text_col).mapInArrow(
         _described(words), "row long, node long, print long, marks binary, keys array<long>"))
     texts = described.groupBy("node").agg(
@@ -410,4 +412,4 @@ def without_near_copies(
         .agg(F.min_by("row", F.struct("order.none", "order.id", "row")).alias("_keep"))
     )
     stays = least.select("_keep").distinct()
-    return tagged.join(stays, F.col("_row") == F.col("_keep"), "left_semi").dropDuplicates(["_row"]).select(*names)
+    return tagged.join(stays, F.col("_row") == F.col("_keep"), "left_semi").dropDuplicates(["_row"]).drop("_row").toDF(*names)

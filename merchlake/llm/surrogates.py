@@ -322,11 +322,11 @@ def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text", cou
     if not key:
         raise ValueError("a key is needed")
     names = docs.columns
-    wrapped = docs.select(F.struct(*[docs[c] for c in names]).alias("row"))
+    wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
     text = F.col("row").getField(text_col)
     entities = F.when(text.rlike(HINT), _all(text, ANY))
     has = F.coalesce(F.size(entities) > 0, F.lit(False))
-    clean = wrapped.where(~has).select("row.*", F.lit(0).cast("long").alias("_count"))
+    clean = wrapped.where(~has).select("row", text.alias("_text"), F.lit(0).cast("long").alias("_count"))
     held = kept(wrapped.where(has).withColumn("_key", F.monotonically_increasing_id()))
 
     occurring = held.select("_key", F.explode(F.array_distinct(_all(text, ANY))).alias("entity"))
@@ -348,5 +348,5 @@ def replace_personal_data(docs: DataFrame, key: str, text_col: str = "text", cou
     changed = parts.select("row", changed_text.alias("_text"), F.size("_found").cast("long").alias("_count"))
     # The row is taken apart last, so its names cannot clash with those used here.
     columns = [F.col("_text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in names]
-    both = clean.unionByName(changed.select(*columns, "_count"))
-    return both.withColumnRenamed("_count", count_col) if count_col else both.select(*[F.col(f"`{c}`") for c in names])
+    counts = [F.col("_count").alias(count_col)] if count_col else []
+    return clean.unionByName(changed).select(*columns, *counts)

@@ -63,3 +63,14 @@ def test_longer_surrogates_are_written_whole(spark, monkeypatch):
     monkeypatch.setattr(surrogates, "candidate", lambda kind, value, key, attempt: drawn(kind, value, key, attempt + 2))
     out = replaced(spark, ["call +49 30 123456 now", "pay 4111 1111 1111 1111 now"])
     assert re.fullmatch(r"call \+4\d \d\d \d{8} now", out[0]) and re.fullmatch(r"pay (\d{4} ){3}\d{6} now", out[1])
+
+
+def test_columns_of_any_name_stay(spark):
+    names = ["doc_id", "text", "_count", "row", "a.b", "_text", "_key", "_lookup"]
+    data = [(1, "to me@mail.com", 7, "r", "d", "t", "k", "l"), (2, "nothing", None, None, None, None, None, None), (3, None, 1, "x", "y", "z", "k", "l")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, _count int, row string, `a.b` string, _text string, _key string, _lookup string")
+    out = surrogates.replace_personal_data(docs, "key", count_col="n_entities")
+    assert out.columns == [*names, "n_entities"]
+    got = {r[0]: tuple(r) for r in out.collect()}
+    assert got[1][2:] == (7, "r", "d", "t", "k", "l", 1) and "me@mail" not in got[1][1]
+    assert got[2] == (*data[1], 0) and got[3] == (*data[2], 0)

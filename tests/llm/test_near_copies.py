@@ -96,3 +96,12 @@ def test_short_sets_are_not_cut_by_the_radius(spark):
         line = [f"s{k}w{i}" for i in range(9)]
         docs += [(len(docs), " ".join(line)), (len(docs) + 1, " ".join(line[:8]))]
     assert stays(spark, docs) == set(range(0, 4000, 2))
+
+
+def test_columns_of_any_name_stay_as_they_are(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    data = [(1, text, 7, "a", "x"), (2, text, 8, "b", "y"), (3, "else " * 3 + text[:40], None, None, "z")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, _row long, node string, `a.b` string")
+    out = simhash.without_near_copies(docs)
+    assert out.columns == docs.columns
+    assert sorted(tuple(r) for r in out.collect()) == [data[0], data[2]]
