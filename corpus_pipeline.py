@@ -15,7 +15,7 @@ ORACLE_SQL = None
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps what scores below 0.7; learned from the labels that op4 may use."""
+    """Keeps what scores below 0.7; learned from the labels that op4 may use. NULL and empty texts score as harmless; repeated rows stay."""
     tune(spark)
     model = toxicity.fit(docs, toxicity.trained_part(read(spark, sf_dir, "labels")))
     return toxicity.without_toxic(docs, model, limit=0.7)
@@ -28,20 +28,20 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents without an item of the benchmark."""
+    """Keeps documents without an item of the benchmark. NULL and empty texts hold none; repeated rows are judged alike."""
     tune(spark)
     return decontaminate.without_items(docs, read(spark, sf_dir, "benchmark"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps all documents, with surrogates in their texts; n_chars follows the new text."""
+    """Keeps all documents, with surrogates in their texts; n_chars follows the new text and stays NULL where it was."""
     tune(spark)
     changed = surrogates.replace_personal_data(docs, surrogate_key(spark))
     return changed.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of all documents, with the digest of the text they decode to."""
+    """Token ids of all documents, with the digest of the text they decode to. NULL and empty texts have no ids; repeated rows stay."""
     tune(spark)
     encoded = bpe.encode_texts(docs, tokenizer_path())
     return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
