@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from merchlake.functions.ordering import row_numbers
-from merchlake.llm.common import Rows, kept, rows_of
+from merchlake.llm.common import Rows, rows_of
+from merchlake.session import stored
 
 BLANK = r"[\x20\x09-\x0D]"
 SEEN = r"[^\x20\x09-\x0D]"
@@ -368,13 +369,13 @@ def _long_conversations(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
     level = numbered.select("conv_id", F.col("no").cast("long").alias("no"), "known")
     groups = []
     while (level.agg(F.max("no")).first()[0] or 1) > 1:
-        grouped = kept(
+        grouped = stored(
             level.groupBy("conv_id", (F.floor((F.col("no") - 1) / FAN) + 1).cast("long").alias("parent"))
             .agg(F.sort_array(F.collect_list(F.struct("no", "known"))).alias("parts"))
         )
         groups.append(grouped)
-        level = kept(_mapped(grouped, _join_group, [("conv_id", "="), ("no", "long"), ("known", "string")]))
-    tops = kept(_mapped(level, _choose_top, [("conv_id", "="), ("no", "long"), ("start", "int"), ("end", "int"), ("known", "string")]))
+        level = stored(_mapped(grouped, _join_group, [("conv_id", "="), ("no", "long"), ("known", "string")]))
+    tops = stored(_mapped(level, _choose_top, [("conv_id", "="), ("no", "long"), ("start", "int"), ("end", "int"), ("known", "string")]))
     chosen = tops.drop("known")
     for grouped in reversed(groups):
         above = chosen.withColumnRenamed("no", "parent")
@@ -446,10 +447,10 @@ def repair_conversations(rows: DataFrame) -> DataFrame:
         "conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit(" ")).alias("role"),
         F.coalesce("text", F.lit(" ")).alias("text"), F.col("copies").cast("long").alias("copies"),
     ).withColumn("digest", F.substring(F.sha2("text", 256), 1, 32))
-    chunks = kept(chunks_of(base))
+    chunks = stored(chunks_of(base))
     several = chunks.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_chunks")).where("n_chunks > 1")
     keys = [("conv_id", "="), *[(c, "=") for c in CHUNK_ORDER], ("turn", "long"), ("role", "string"), ("digest", "string")]
-    leaves = kept(_mapped(_beside(chunks, several, ["conv_id"]), _search,
+    leaves = stored(_mapped(_beside(chunks, several, ["conv_id"]), _search,
                           [*keys, ("known", "string"), ("paths", "array<string>")]))
     alone = leaves.where(F.size("paths") == 1)
     paths = alone.select("conv_id", "turn", "role", "digest", F.get("paths", F.lit(0)).alias("path"), "known")
