@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlake.llm.common import kept
+from merchlake.session import stored
 
 LARGEST = 2**63 - 1
 EXACT = 2**24  # float32 holds all whole numbers up to here
@@ -118,9 +118,9 @@ def _pack(rows: list[tuple], block: int) -> tuple:
     with np.errstate(over="ignore"):
         parts = np.clip(np.floor(256.0 * parts), -(2.0**63), 2.0**63)
     small = np.abs(parts).max(initial=0) < 2**15
-    stored = parts.astype("<i2" if small else "<f8")
+    held = parts.astype("<i2" if small else "<f8")
     windows = [b"".join(np.array(w, "<i8").tobytes() for w in side) if side[0] is not None else None for side in (lows, highs)]
-    return (block, len(rows), dims, np.array(ids, "<i8").tobytes(), np.array(labels, "<i8").tobytes(), stored.tobytes(), *windows)
+    return (block, len(rows), dims, np.array(ids, "<i8").tobytes(), np.array(labels, "<i8").tobytes(), held.tobytes(), *windows)
 
 
 def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,8 +264,8 @@ def hard_negatives(
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull() & finite)
     nothing = F.lit(None).cast("array<long>")
-    candidates = kept(_packed(rows.select("id", "label", "vector", nothing.alias("lows"), nothing.alias("highs"))))
-    anchors = kept(
+    candidates = stored(_packed(rows.select("id", "label", "vector", nothing.alias("lows"), nothing.alias("highs"))))
+    anchors = stored(
         rows.where("asks").groupBy("id").agg(F.min(F.struct("vector", "label")).alias("a")).select("id", "a.label", "a.vector")
     )
 
@@ -276,7 +276,7 @@ def hard_negatives(
     first = _meet(asked, candidates, across, down, positives, same=True)
     best = Window.partitionBy("anchor_id").orderBy(*order)
     chosen = first.withColumn("place", F.row_number().over(best)).where(F.col("place") <= positives)
-    chosen = kept(chosen.select("anchor_id", (F.col("place") - 1).alias("place"), F.col("other_id").alias("positive_id"),
+    chosen = stored(chosen.select("anchor_id", (F.col("place") - 1).alias("place"), F.col("other_id").alias("positive_id"),
                                 F.col("score").alias("positive_score")))
 
     # 100 s >= low x p holds for s >= ceil(low x p / 100), 100 s <= high x p for s <= floor(high x p / 100).
