@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 MB = 1024 * 1024
@@ -71,9 +73,27 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+# Scratch paths handed out by this process, with what is needed to remove them after the session has been stopped.
+_HANDED_OUT: list[tuple] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the scratch root."""
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the scratch root; what lies there is removed when the process ends."""
+    path = f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+    _HANDED_OUT.append((spark._jvm, spark._jsc.hadoopConfiguration(), path))
+    return path
+
+
+@atexit.register
+def remove_scratch() -> None:
+    """Delete what was written below the scratch paths, as far as the JVM still runs."""
+    while _HANDED_OUT:
+        jvm, configuration, path = _HANDED_OUT.pop()
+        try:
+            root = jvm.org.apache.hadoop.fs.Path(path)
+            root.getFileSystem(configuration).delete(root, True)
+        except (Py4JError, OSError, AttributeError, TypeError):  # the JVM is gone
+            _HANDED_OUT.clear()
 
 
 
