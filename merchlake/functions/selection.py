@@ -175,11 +175,14 @@ def with_percentiles(
     given = Bins(bins, seen.get["largest"] or 0)
     at = at_ranks(rows.select(*group, F.col(value).cast("double").alias("_value")), group, "_value", wanted, bins=given, few=few)
     hit = _match(at, places, group, few=few).where("rank = low OR rank = high")
-    sides = [
-        f"max(IF(i = {i} AND rank = low, _value, NULL)) AS _low{i}, max(IF(i = {i} AND rank = high, _value, NULL)) AS _high{i}, "
-        f"max(IF(i = {i}, part, NULL)) AS _part{i}".split(", max") for i in range(len(probs))
-    ]
-    picked = hit.groupBy(*group).agg(*[F.expr(x if x.startswith("max") else f"max{x}") for side in sides for x in side])
+    columns = []
+    for i in range(len(probs)):
+        columns += [
+            f"max(IF(i = {i} AND rank = low, _value, NULL)) AS _low{i}",
+            f"max(IF(i = {i} AND rank = high, _value, NULL)) AS _high{i}",
+            f"max(IF(i = {i}, part, NULL)) AS _part{i}",
+        ]
+    picked = hit.groupBy(*group).agg(*[F.expr(c) for c in columns])
     values = picked.select(*group, *[F.expr(f"_low{i} + (_high{i} - _low{i}) * _part{i}").alias(n) for i, n in enumerate(probs)])
     return _match(groups.drop("_n"), values, group, "left", few=few)
 
