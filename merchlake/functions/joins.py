@@ -19,6 +19,12 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def source_bytes(df: DataFrame) -> int:
+    """Size of what a frame reads, summed over its sources: grows with the input, however the frame joins them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def small_enough(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
     return estimated_bytes(df) <= limit
 

@@ -15,12 +15,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchlake.functions.joins import estimated_bytes
+from merchlake.functions.joins import source_bytes
 from merchlake.session import MB, scratch_root
 
 PIECE, HALO = "_piece", "_halo"
 RANGE_BYTES = 64 * MB
 MOST_RANGES = 64
+# Groups are counted in so many buckets; a bucket of up to so many rows is left to plain windows over its groups.
+GROUP_BUCKETS = 65_536
+HEAVY_ROWS = 250_000
 
 
 def _ordering(order: Sequence) -> list[Column]:
@@ -32,8 +35,9 @@ def cut_into_ranges(df: DataFrame, group: Sequence[str], order: Sequence, pieces
     spark = df.sparkSession
     scratch_root(spark)
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The estimate of a joined frame can be far too high, so it may only raise the number so far.
-    count = pieces or min(max(usual, estimated_bytes(df) // RANGE_BYTES + 1), MOST_RANGES * usual)
+    # Not the estimate of the frame itself: that of a join is a product, and every range costs a task in each later step.
+    # The sizes of some sources are not known, so they may only raise the number so far.
+    count = pieces or min(max(usual, source_bytes(df) // RANGE_BYTES + 1), MOST_RANGES * usual)
     ranged = df.repartitionByRange(count, *[F.col(g) for g in group], *_ordering(order))
     return ranged.withColumn(PIECE, F.spark_partition_id()).checkpoint()
 
@@ -99,6 +103,19 @@ def tile(rn: Column, n_rows: Column, tiles: int) -> Column:
     return F.when(rn <= cutoff, within_long).otherwise(within_short).cast("int")
 
 
+def _bucket(group: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(g) for g in group]), F.lit(GROUP_BUCKETS)).cast("int")
+
+
+def heavy_buckets(df: DataFrame, group: Sequence[str], most: int = HEAVY_ROWS) -> list[int]:
+    """Buckets of hashed groups with more than `most` rows: only these can hold a group too big for a task.
+
+    At most rows / `most` numbers. One pass, in which GROUP_BUCKETS counts a task are shuffled.
+    """
+    counts = df.groupBy(_bucket(group).alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    return sorted(r["_bucket"] for r in counts.where(F.col("_n") > most).select("_bucket").collect())
+
+
 def neighbours(
     df: DataFrame,
     group: Sequence[str],
@@ -106,14 +123,46 @@ def neighbours(
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
     pieces: int | None = None,
+    heavy: list[int] | None = None,
 ) -> DataFrame:
     """lag(1) and lead(1) per group, for groups of any size.
 
     `previous` and `following` map new column names to source columns. `order`
-    must be unique inside the group. Rows at a range border take their
-    neighbour from the first/last rows of the group's adjoining ranges.
+    must be unique inside the group. Groups in `heavy` buckets (see
+    heavy_buckets; looked up unless given) are cut into ranges, the others go
+    through plain windows in one shuffle. With `pieces`, or without a group, all
+    rows are cut into ranges.
     """
     previous, following = previous or {}, following or {}
+    if pieces or not group:
+        return _across_ranges(df, group, order, previous, following, pieces)
+    heavy = heavy_buckets(df, group) if heavy is None else heavy
+    inside = Window.partitionBy(*group).orderBy(*_ordering(order))
+
+    def windowed(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *[F.col(f"`{c}`") for c in df.columns],
+            *[F.lag(F.col(src)).over(inside).alias(name) for name, src in previous.items()],
+            *[F.lead(F.col(src)).over(inside).alias(name) for name, src in following.items()],
+        )
+
+    if not heavy:
+        return windowed(df)
+    is_heavy = _bucket(group).isin(heavy)
+    return windowed(df.where(~is_heavy)).unionByName(
+        _across_ranges(df.where(is_heavy), group, order, previous, following, None)
+    )
+
+
+def _across_ranges(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    previous: dict[str, str],
+    following: dict[str, str],
+    pieces: int | None,
+) -> DataFrame:
+    """`neighbours` range by range: rows at a range border take their neighbour from the first/last rows of the group's adjoining ranges."""
     cut = cut_into_ranges(df, group, order, pieces)
     inside = Window.partitionBy(*group, PIECE).orderBy(*_ordering(order))
     carried = sorted({*previous.values(), *following.values()})

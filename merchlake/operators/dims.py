@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchlake.functions.joins import BROADCAST_LIMIT, small_enough, spread_join
-from merchlake.functions.ordering import PIECE, cut_into_ranges, neighbours
+from merchlake.functions.ordering import PIECE, cut_into_ranges, heavy_buckets, neighbours
 from merchlake.functions.scalars import OPEN_END, fingerprint
 
 TRACKED = ["email", "city", "country", "phone"]
@@ -117,12 +117,15 @@ def scd2_from_changes(
 
     Changes are ordered by `sequence` (unique per key). Entries equal to the
     one before are dropped; each remaining entry is valid until the next.
-    Neighbours are found range by range, so one key may hold most of the log.
+    Both neighbours of a key's changes come out of one shuffle; keys of much
+    weight are cut into ranges, so one key may hold most of the log.
     """
     hashed = changes.withColumn("row_hash", fingerprint(list(tracked)))
-    with_before = neighbours(hashed, [key], list(sequence), previous={"_before": "row_hash"}, pieces=pieces)
+    # Counted in the log: what is kept of a key is never more.
+    heavy = None if pieces else heavy_buckets(changes, [key])
+    with_before = neighbours(hashed, [key], list(sequence), previous={"_before": "row_hash"}, pieces=pieces, heavy=heavy)
     kept = with_before.where(~F.col("_before").eqNullSafe(F.col("row_hash"))).drop("_before")
-    with_next = neighbours(kept, [key], list(sequence), following={"_until": moment}, pieces=pieces)
+    with_next = neighbours(kept, [key], list(sequence), following={"_until": moment}, pieces=pieces, heavy=heavy)
     return with_next.select(
         key,
         *tracked,

@@ -114,3 +114,37 @@ def test_hot_partition_is_split_at_run_time(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_neighbours_of_light_and_heavy_groups_agree(spark):
+    data = [("a" if v % 3 else None if v % 2 else f"k{v % 12}", v, v * 10) for v in range(600)]
+    random.Random(2).shuffle(data)
+    df = spark.createDataFrame(data, "g STRING, i INT, x INT")
+    wanted = rows(ordering.neighbours(df, ["g"], ["i"], {"p": "x"}, {"n": "x"}, pieces=5))
+    heavy = ordering.heavy_buckets(df, ["g"], most=90)
+    assert len(heavy) == 2  # of "a" and of NULL
+    for some in (heavy, heavy[:1], []):
+        assert rows(ordering.neighbours(df, ["g"], ["i"], {"p": "x"}, {"n": "x"}, heavy=some)) == wanted
+
+
+def test_neighbours_of_light_groups_take_one_shuffle(spark):
+    df = spark.createDataFrame([(f"k{v % 50}", v, v) for v in range(500)], "g STRING, i INT, x INT")
+    before = ordering.neighbours(df, ["g"], ["i"], {"p": "x"})
+    after = ordering.neighbours(before.where("p IS NULL OR p <> x"), ["g"], ["i"], following={"n": "x"})
+    assert exchanges(after) == 1
+
+
+def test_joined_frames_are_cut_into_the_usual_number_of_ranges(spark, tmp_path):
+    """The estimate of a join is the product of its sides; the ranges follow what is read."""
+    spark.range(20_000).selectExpr("id", "id % 7 AS g").write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    other = t.withColumnsRenamed({"id": "_id", "g": "_g"}).where("_id < 5")
+    joined = t.join(other, t.id == other._id, "left")
+    assert joins.estimated_bytes(joined) > 64 * ordering.RANGE_BYTES
+    cut = ordering.cut_into_ranges(joined, ["g"], ["id"])
+    assert cut.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert cut.count() == 20_000
