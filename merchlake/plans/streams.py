@@ -5,22 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from merchlake.functions.joins import estimated_bytes
 from merchlake.operators import monitor, quality
 from merchlake.plans.registry import CTES, day, moment, query, rounded
-from merchlake.session import scratch_path
-from merchlake.sources import testdata
+from merchlake.session import MB, scratch_path
+from merchlake.sources import files, testdata
 from merchlake.streaming import orders as stream
 
 SLICES = 4
+# Bytes of orders whose messages go to one file of the feed, and the batches in which the files are read.
+FEED_BYTES, FEED_BATCHES = 4 * MB, 2
 
 CTES["order_messages"] = """
     SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderkey % 50 = 7 AS broken, copy
     FROM orders JOIN (VALUES (1), (2)) v(copy) ON copy = 1 OR o_orderkey % 3 = 0"""
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Broker messages made from the orders: every third one sent twice, some unreadable."""
-    orders = testdata.table(spark, sf_dir, "orders")
+def _messages(spark: SparkSession, sf_dir: str, ranges: int) -> DataFrame:
+    """Broker messages made from the orders: every third one sent twice, some unreadable.
+
+    They lie in ranges of time, which rises with the key; the orders are dealt out, as their messages are far longer.
+    """
+    orders = testdata.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    orders = orders.repartitionByRange(ranges, "o_orderkey")
     n_parts = testdata.table(spark, sf_dir, "part").count()
     key = F.col("o_orderkey")
     body = F.to_json(
@@ -42,11 +49,13 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _feed(spark: SparkSession, sf_dir: str) -> str:
-    """The messages as files, written in time order."""
+def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages as a stream of files, in time order and in FEED_BATCHES batches; the files grow in number, not in size."""
     path = scratch_path(spark, "feed")
-    _messages(spark, sf_dir).repartitionByRange(4, "timestamp").write.parquet(path)
-    return path
+    ranges = max(SLICES, estimated_bytes(testdata.table(spark, sf_dir, "orders")) // FEED_BYTES + 1)
+    _messages(spark, sf_dir, ranges).write.parquet(path)
+    written = files.put_in_order(spark, path)
+    return stream.file_stream(spark, path, files_per_batch=-(-written // FEED_BATCHES))
 
 
 def _run(query_handle) -> None:
@@ -62,7 +71,7 @@ def stream_landed_orders(spark, sf):
     out, mark = scratch_path(spark, "bronze"), scratch_path(spark, "mark")
     source = _feed(spark, sf)
     for _ in range(2):  # the second run finds nothing new
-        _run(stream.land(stream.parse_orders(stream.file_stream(spark, source, files_per_batch=2)), out, mark))
+        _run(stream.land(stream.parse_orders(source), out, mark))
     landed = spark.read.parquet(out)
     return landed.agg(
         F.count(F.lit(1)).alias("n"),
@@ -78,7 +87,7 @@ def stream_landed_orders(spark, sf):
 )
 def stream_orders_without_repeats(spark, sf):
     out, mark = scratch_path(spark, "unique"), scratch_path(spark, "mark")
-    rows = stream.parse_orders(stream.file_stream(spark, _feed(spark, sf), files_per_batch=2), "1 hour")
+    rows = stream.parse_orders(_feed(spark, sf), "1 hour")
     _run(stream.land(stream.without_repeats(rows.where("order_id IS NOT NULL")), out, mark))
     return spark.read.parquet(out).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.round(F.sum("unit_price"), 6), 2).alias("amount")
@@ -92,7 +101,7 @@ def stream_orders_without_repeats(spark, sf):
 )
 def stream_daily_totals(spark, sf):
     table, mark = scratch_path(spark, "daily"), scratch_path(spark, "mark")
-    rows = stream.parse_orders(stream.file_stream(spark, _feed(spark, sf), files_per_batch=2))
+    rows = stream.parse_orders(_feed(spark, sf))
     _run(stream.each_batch(rows, stream.daily_upsert(table), mark))
     totals = stream.latest_state(spark, table)
     return totals.withColumn("gross_revenue", F.round(F.round("gross_revenue", 6), 2))
@@ -179,7 +188,7 @@ def stream_quality_split(spark, sf):
             testdata.table(batch.sparkSession, sf, "part").select(F.col("p_partkey").cast("string").alias("product_id")),
         ).drop("_failed_rules")
 
-    rows = stream.parse_orders(stream.file_stream(spark, _feed(spark, sf), files_per_batch=2))
+    rows = stream.parse_orders(_feed(spark, sf))
     _run(stream.each_batch(rows, stream.split_batches(check, good, bad), mark))
     return (
         spark.read.parquet(good).select(F.lit(True).alias("accepted"))
