@@ -22,6 +22,9 @@ from merchlake.operators.features import FEATURES, horizon_features
 # the label, so the model sees its own target; pass other features to avoid it.
 CHURN_FEATURES = ["total_orders", "total_spend", "avg_order_value", "days_since_last_order", "total_returns"]
 
+# Training rows that one task takes before there are more tasks than cores.
+ROWS_PER_TASK = 500_000
+
 
 def churn_labels(metrics: DataFrame, days: int = 90) -> DataFrame:
     """1 when the last order is more than `days` old; no order at all gives 0."""
@@ -59,6 +62,15 @@ def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.
     return ranked.withColumn("is_test", F.col("_rn") <= wanted).drop("_order", "_rn", "_n")
 
 
+def for_training(rows: DataFrame, per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """All rows in as many partitions as the session has cores, or more where tasks would hold over `per_task` rows.
+
+    Boosted trees run a job per level of each tree, a thousand in all, whose time is that of starting their tasks.
+    """
+    wanted = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // per_task))
+    return rows.coalesce(wanted)
+
+
 def train_churn(
     metrics: DataFrame,
     features: Sequence[str] = CHURN_FEATURES,
@@ -85,7 +97,7 @@ def train_churn(
                 seed=seed,
             ),
         ]
-    ).fit(weighted)
+    ).fit(for_training(weighted))
 
 
 def score_churn(model: PipelineModel, rows: DataFrame, features: Sequence[str] = CHURN_FEATURES) -> DataFrame:

@@ -162,3 +162,21 @@ def test_forecast_beats_last_weeks_value(spark):
             < stats.regression_quality(mean, "net_revenue", "p").first()["mae"])
     ahead = ml.forecast(model, series, date(2024, 6, 1), 5)
     assert ahead.count() == 5 and ml.forecast_total(ahead).first()["horizon_days"] == 5
+
+
+def test_training_rows_lie_in_as_many_partitions_as_there_are_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(5 * cores)
+    assert ml.for_training(many).rdd.getNumPartitions() == cores
+    assert ml.for_training(many, per_task=1000 // (2 * cores)).rdd.getNumPartitions() >= 2 * cores
+    assert rows(ml.for_training(many)) == rows(many)
+
+
+def test_churn_trees_grow_on_few_partitions(spark, monkeypatch):
+    """The model of rows in many partitions is that of the same rows in few, and no job of it has more tasks than cores."""
+    cores = spark.sparkContext.defaultParallelism
+    data = spark.range(400).selectExpr("CAST(id % 2 AS INT) AS is_churned", "CAST(id % 2 + id % 7 AS DOUBLE) AS a").repartition(10 * cores)
+    seen = []
+    monkeypatch.setattr(ml.Pipeline, "fit", lambda self, frame: seen.append(frame.rdd.getNumPartitions()))
+    ml.train_churn(data, ["a"], trees=2)
+    assert seen == [cores]
