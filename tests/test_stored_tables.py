@@ -65,3 +65,13 @@ def test_loads_touch_only_their_periods(spark, tmp_path):
     assert periods.purge(spark, table, "day", date(2024, 1, 3)) == ["2024-01-01", "2024-01-02"]
     assert files(table) == {f for f in third if f > "day=2024-01-03"}
     assert periods.purge(spark, table, "day", date(2024, 1, 3)) == []
+
+
+def test_facts_are_stored_tightly(spark):
+    from conftest import SMALL
+
+    from merchlake.plans.commerce import Lake
+
+    lake = Lake(spark, SMALL)
+    for fact in (lake.orders, lake.returns):
+        assert fact.inputFiles() and all(".zstd.parquet" in f for f in fact.inputFiles())
